@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.casts import integer_key, stripped
-
-#: A key with more than 1/HOT_SHARE of all references is split; so there are fewer than HOT_SHARE of them.
-HOT_SHARE = 100
+from corpusloom.operators.skew import hot_keys, repeat_rows, split_rows
 
 
 @dataclass(frozen=True)
@@ -59,19 +57,16 @@ def orphan_references(references: list[Reference], parents: DataFrame, parent_ke
 
     counted = refs.filter("key is not null").groupBy("key").count()
     total = sum(r.rows.count() for r in references)
-    hot = F.broadcast(counted.filter(F.col("count") * HOT_SHARE > total).select("key", F.lit(splits).alias("parts")))
-
-    part = F.pmod(F.xxhash64("id", "at"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
-    keyed = refs.filter("key is not null").join(hot, "key", "left").select("ref_table", "id", "ref_text", "at", "key", part)
-    every_part = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    hot = hot_keys(counted, "key", total, splits)
+    keyed = split_rows(refs.filter("key is not null"), hot, "key", "id", "at")
 
     absent = counted.select("key").join(owners.select("key").distinct(), "key", "left_anti")
-    lost = keyed.join(absent.join(hot, "key", "left").select("key", every_part), ["key", "part"], "left_semi").select("ref_table", "id", "ref_text", "at", F.lit("absent").alias("reason"))
+    lost = keyed.join(repeat_rows(absent, hot, "key"), ["key", "part"], "left_semi").select("ref_table", "id", "ref_text", "at", F.lit("absent").alias("reason"))
 
     # Rows of one load time count as the one that ends last.
     forever = F.lit("9999-12-31 00:00:00").cast(dict(owners.dtypes)["from"])
     spans = owners.groupBy("key", F.col("from").alias("at")).agg(F.max(F.coalesce("to", forever)).alias("end"))
-    spans = spans.join(hot, "key", "left").select("key", every_part, "at", "end", F.lit(0).alias("kind"))
+    spans = repeat_rows(spans, hot, "key").withColumn("kind", F.lit(0))
     known = keyed.join(spans.select("key", "part").distinct(), ["key", "part"], "left_semi").withColumn("kind", F.lit(1))
     swept = known.unionByName(spans, allowMissingColumns=True)
     so_far = Window.partitionBy("key", "part").orderBy(F.col("at").asc_nulls_first(), "kind").rowsBetween(Window.unboundedPreceding, 0)
