@@ -4,14 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.llm.clusters import cluster_profiles, mutual_clusters, similarity_clusters
 from corpusloom.llm.neighbours import most_similar, similar_pairs
 from corpusloom.plans.tables import table
 
 DIM = 128
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return mutual_clusters(similarity_clusters(table(spark, folder, "chunk_embeddings"), DIM))
+
+
+def p1_cluster_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_profiles(similarity_clusters(table(spark, folder, "chunk_embeddings"), DIM))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return similar_pairs(most_similar(table(spark, folder, "chunk_embeddings"), DIM))
 
 
-QUERIES = {"p5_found": (p5_found, None)}
+QUERIES = {
+    "p1_found": (p1_found, None),
+    "p1_cluster_profiles": (p1_cluster_profiles, None),
+    "p5_found": (p5_found, None),
+}
