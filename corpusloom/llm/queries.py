@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.llm.clusters import cluster_profiles, mutual_clusters, similarity_clusters
 from corpusloom.llm.neighbours import most_similar, similar_pairs
+from corpusloom.llm.records import record_classes, record_counts
 from corpusloom.plans.tables import table
 
 DIM = 128
@@ -23,8 +25,51 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return similar_pairs(most_similar(table(spark, folder, "chunk_embeddings"), DIM))
 
 
+# Labels of the fields of a decision, and of its body.
+LABELS, BODY = ("birim", "esas no", "karar no", "karar tarihi", "dava türü"), "metin"
+
+
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    return record_classes(table(spark, folder, "merged_unique_documents"), "documentid", "mdtext", LABELS, BODY)
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    copies = _records(spark, folder).filter("id <> keep")
+    return copies.select(F.col("keep").alias("documentid_keep"), F.col("id").alias("documentid_copy")).distinct()
+
+
+def p4_record_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return record_counts(_records(spark, folder)).withColumnRenamed("keep", "documentid_keep")
+
+
+_P4 = r"""
+with texts as (
+  select documentid as id, ' ' || trim(regexp_replace(translate(regexp_replace(lower(upper(mdtext)), '[\p{Cf}\p{M}]', '', 'g'), 'ı', 'i'),
+         '[^\p{L}\p{Nd}]+', ' ', 'g')) || ' ' as w
+  from merged_unique_documents
+  where documentid is not null and regexp_replace(mdtext, '[\s\p{Z}]', '', 'g') <> ''
+), split as (
+  select id, w, position(' metin ' in w) as pos from texts
+), parsed as (
+  select id, case when pos > 0 then w[:pos] else ' ' end as header, replace(case when pos > 0 then w[pos + 6:] else w end, ' ', '') as body from split
+), canonical as (
+  select id, list_sort(list_transform(string_split(regexp_replace(replace(header, ' ', '  '),
+         ' (birim|esas  no|karar  no|karar  tarihi|dava  türü) ', chr(1) || '\1' || chr(2), 'g'), chr(1)),
+         lambda x: replace(x, ' ', ''))) as fields, body
+  from parsed
+), classes as (
+  select id, min(id) over (partition by fields, body) as keep from canonical
+)
+"""
+
+
 QUERIES = {
     "p1_found": (p1_found, None),
     "p1_cluster_profiles": (p1_cluster_profiles, None),
+    "p4_found": (p4_found, _P4 + "select distinct keep as documentid_keep, id as documentid_copy from classes where id <> keep"),
+    "p4_record_counts": (
+        p4_record_counts,
+        _P4 + "select keep as documentid_keep, count(distinct id) as n_ids, cast(count(*) as bigint) as n_rows from classes group by keep",
+    ),
     "p5_found": (p5_found, None),
 }
