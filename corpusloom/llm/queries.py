@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.clusters import cluster_profiles, mutual_clusters, similarity_clusters
 from corpusloom.llm.neighbours import most_similar, similar_pairs
 from corpusloom.llm.records import record_classes, record_counts
+from corpusloom.llm.subset import varied_subsets
 from corpusloom.plans.tables import table
 
 DIM = 128
@@ -25,6 +26,10 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return similar_pairs(most_similar(table(spark, folder, "chunk_embeddings"), DIM))
 
 
+def p2_varied_subsets(spark: SparkSession, folder: str) -> DataFrame:
+    return varied_subsets(table(spark, folder, "chunk_embeddings"), table(spark, folder, "subset_sizes"), DIM)
+
+
 # Labels of the fields of a decision, and of its body.
 LABELS, BODY = ("birim", "esas no", "karar no", "karar tarihi", "dava türü"), "metin"
 
@@ -66,6 +71,7 @@ with texts as (
 QUERIES = {
     "p1_found": (p1_found, None),
     "p1_cluster_profiles": (p1_cluster_profiles, None),
+    "p2_varied_subsets": (p2_varied_subsets, None),
     "p4_found": (p4_found, _P4 + "select distinct keep as documentid_keep, id as documentid_copy from classes where id <> keep"),
     "p4_record_counts": (
         p4_record_counts,
