@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.clusters import cluster_profiles, mutual_clusters, similarity_clusters
 from corpusloom.llm.neighbours import most_similar, similar_pairs
 from corpusloom.llm.records import record_classes, record_counts
+from corpusloom.llm.residue import find_residue
 from corpusloom.llm.subset import varied_subsets
 from corpusloom.plans.tables import table
 
@@ -68,6 +69,10 @@ with texts as (
 """
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return find_residue(table(spark, folder, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id"))
+
+
 QUERIES = {
     "p1_found": (p1_found, None),
     "p1_cluster_profiles": (p1_cluster_profiles, None),
@@ -78,4 +83,5 @@ QUERIES = {
         _P4 + "select keep as documentid_keep, count(distinct id) as n_ids, cast(count(*) as bigint) as n_rows from classes group by keep",
     ),
     "p5_found": (p5_found, None),
+    "p8_found": (p8_found, None),
 }
