@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.clusters import cluster_profiles, mutual_clusters, similarity_clusters
 from corpusloom.llm.neighbours import most_similar, similar_pairs
+from corpusloom.llm.packing import fill_report, packed
 from corpusloom.llm.records import record_classes, record_counts
 from corpusloom.llm.residue import find_residue
 from corpusloom.llm.subset import varied_subsets
+from corpusloom.llm.tokens import token_counts
 from corpusloom.plans.tables import table
 
 DIM = 128
@@ -69,6 +71,15 @@ with texts as (
 """
 
 
+def p6_packed(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = token_counts(table(spark, folder, "documents"), "doc_id", "text")
+    return packed(sizes, table(spark, folder, "container_sizes"))
+
+
+def p6_fill_report(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_report(p6_packed(spark, folder), table(spark, folder, "container_sizes"))
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return find_residue(table(spark, folder, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id"))
 
@@ -83,5 +94,7 @@ QUERIES = {
         _P4 + "select keep as documentid_keep, count(distinct id) as n_ids, cast(count(*) as bigint) as n_rows from classes group by keep",
     ),
     "p5_found": (p5_found, None),
+    "p6_packed": (p6_packed, None),
+    "p6_fill_report": (p6_fill_report, None),
     "p8_found": (p8_found, None),
 }
