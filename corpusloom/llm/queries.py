@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.clusters import cluster_profiles, mutual_clusters, similarity_clusters
+from corpusloom.llm.mixture import mixture
 from corpusloom.llm.neighbours import most_similar, similar_pairs
 from corpusloom.llm.packing import fill_report, packed
 from corpusloom.llm.records import record_classes, record_counts
@@ -80,6 +81,14 @@ def p6_fill_report(spark: SparkSession, folder: str) -> DataFrame:
     return fill_report(p6_packed(spark, folder), table(spark, folder, "container_sizes"))
 
 
+def p7_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).chosen
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).shares
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return find_residue(table(spark, folder, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id"))
 
@@ -96,5 +105,7 @@ QUERIES = {
     "p5_found": (p5_found, None),
     "p6_packed": (p6_packed, None),
     "p6_fill_report": (p6_fill_report, None),
+    "p7_mixture": (p7_mixture, None),
+    "p7_shares": (p7_shares, None),
     "p8_found": (p8_found, None),
 }
