@@ -70,10 +70,9 @@ def parts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     low = folded(F.regexp_replace(text, r"\b\p{Ll}+(?:\p{Lu}\p{Ll}+)+\b", "$0 ¬"))
     pieces = F.split(low, r"\n+|(?<=[.!?;])\s+(?=\S)")
     kept = F.filter(pieces, lambda x: F.trim(x) != "")
-    return (
-        rows.select(F.col(id_col).alias("doc"), kept.alias("pieces"))
-        .select("doc", F.size("pieces").alias("n"), F.posexplode("pieces").alias("at", "part"))
-    )
+    # The outer form, since for the inner one the pieces are computed once more to filter the texts without any.
+    found = rows.select(F.col(id_col).alias("doc"), kept.alias("pieces"))
+    return found.select("doc", F.size("pieces").alias("n"), F.posexplode_outer("pieces").alias("at", "part")).filter("part is not null")
 
 
 def weak_label(part: Column) -> Column:
@@ -130,9 +129,10 @@ class ResidueModel:
     def faulty(self, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """(doc, score) of the texts with a part whose score is ``sure``, or reaches ``threshold`` and
         shows a sign of the weak labels' kinds on a second look."""
-        found = self.scored(rows, id_col, text_col).filter(F.col("score") >= self.threshold)
-        found = found.filter((F.col("score") >= self.sure) | (weak_label(F.col("part")) == 1))
-        return found.groupBy("doc").agg(F.max("score").alias("score"))
+        # No filter on the score: it would be computed again for the filter.
+        sign = (F.col("score") >= self.sure) | ((F.col("score") >= self.threshold) & (weak_label(F.col("part")) == 1))
+        worst = self.scored(rows, id_col, text_col).groupBy("doc").agg(F.max(F.when(sign, F.col("score"))).alias("score"))
+        return worst.filter("score is not null")
 
 
 def _second(vector: str) -> Column:
