@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.casts import stripped
 from corpusloom.operators.skew import hot_keys, repeat_rows, split_rows
+from corpusloom.session import written
 
 # Letters that texts may hold as a base letter with a combining mark, and the one letter they stand for.
 COMPOSED = {
@@ -92,15 +93,20 @@ def record_classes(rows: DataFrame, id_col: str, text_col: str, labels: Sequence
     """
     source = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("id").isNotNull() & (stripped(F.col("text")) != ""))
     record = Record(F.col("fields"), F.col("body"))
-    source = labelled_records(source, "text", labels, body_label).withColumn("root", record.digest)
-    ids = source.groupBy("id", "root").agg(F.count("*").alias("n_rows"))
+
+    def rooted(texts: DataFrame) -> DataFrame:
+        return labelled_records(texts, "text", labels, body_label).withColumn("root", record.digest)
+
+    # Written once: a digest is small, and computing it is most of the work.
+    ids = written(rooted(source).groupBy("id", "root").agg(F.count("*").alias("n_rows")), "digests")
     sized = ids.groupBy("root").agg(F.count("*").alias("count"), F.min("id").alias("keep"))
     alone = sized.filter("count = 1").select("keep", F.col("keep").alias("id"), "root")
     several = sized.filter("count > 1").select("root")
 
-    shaped = source.join(several, "root", "left_semi").select("id", "root", record.structure.alias("structure"))
-    forms = shaped.groupBy("root", "structure").agg(F.min("id").alias("keep"))
-    by_root = forms.groupBy("root").agg(F.count("*").alias("forms"), F.min("keep").alias("keep"))
+    doubtful = source.join(ids.join(several, "root", "left_semi").select("id").distinct(), "id", "left_semi")
+    shaped = rooted(doubtful).select("id", "root", record.structure.alias("structure"))
+    forms = written(shaped.groupBy("root", "structure").agg(F.min("id").alias("keep")), "forms")
+    by_root = forms.groupBy("root").agg(F.count("*").alias("forms"), F.min("keep").alias("keep")).join(several, "root", "left_semi")
     same = by_root.filter("forms = 1").select("root", "keep")
     mixed = by_root.filter("forms > 1").select("root")
 
@@ -108,6 +114,8 @@ def record_classes(rows: DataFrame, id_col: str, text_col: str, labels: Sequence
     hot = hot_keys(sized.select("root", "count"), "root", total, PARTS)
     copies = split_rows(ids, hot, "root", "id").join(repeat_rows(same, hot, "root"), ["root", "part"]).select("keep", "id", "n_rows")
     lone = ids.join(alone, ["root", "id"]).select("keep", "id", "n_rows")
+    if mixed.isEmpty():
+        return lone.unionByName(copies)
     apart = shaped.join(mixed, "root", "left_semi").groupBy("root", "structure", "id").agg(F.count("*").alias("n_rows")).join(forms, ["root", "structure"]).select("keep", "id", "n_rows")
     return lone.unionByName(copies).unionByName(apart)
 
