@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.vectors import Cells, nearest_cells, sample_size, sample_vectors, tiled, train_cells, units, unpack, usable_vectors
 
-#: Codewords of a subspace: four bits.
-WORDS = 16
+#: Codewords of a subspace: four bits.  Rows encoded at once.
+WORDS, ENCODED = 16, 4096
 
 
 @dataclass(frozen=True)
@@ -27,21 +27,28 @@ class Codebooks:
     def encode(self, rest: np.ndarray, unit: np.ndarray, rounds: int = 1) -> np.ndarray:
         """(rows, subspaces): the codeword numbers that make the anisotropic loss small: the squared error,
         with its part along the vector counted ``weight`` times.  Coordinate descent from the nearest words."""
+        if len(rest) > ENCODED:
+            return np.concatenate([self.encode(rest[i : i + ENCODED], unit[i : i + ENCODED], rounds) for i in range(0, len(rest), ENCODED)])
         m, _, w = self.words.shape
         rest, unit = rest.reshape(-1, m, w), unit.reshape(-1, m, w)
         squares = (self.words**2).sum(axis=2)
-        code = np.empty((len(rest), m), np.uint8)
-        along = np.zeros(len(rest), np.float32)
-        for j in range(m):
-            code[:, j] = (squares[j] - 2 * rest[:, j] @ self.words[j].T).argmin(axis=1)
-            along += ((rest[:, j] - self.words[j][code[:, j]]) * unit[:, j]).sum(axis=1)
+        # (subspaces, rows, words): the squared error of every word but for the row's own square.
+        error = squares[:, None] - 2 * np.matmul(rest.transpose(1, 0, 2), self.words.transpose(0, 2, 1))
+        code = error.argmin(axis=2).astype(np.uint8).T
+        if not rounds:
+            return code
+        each = np.arange(len(rest))
+        # The same of the error's part along the vector.
+        part = (rest * unit).sum(axis=2).T[:, :, None] - np.matmul(unit.transpose(1, 0, 2), self.words.transpose(0, 2, 1))
+        along = np.take_along_axis(part, code.T[:, :, None].astype(np.intp), axis=2).sum(axis=(0, 2))
         for _ in range(rounds):
             for j in range(m):
-                own = (rest[:, j] * unit[:, j]).sum(axis=1)[:, None] - unit[:, j] @ self.words[j].T
-                others = along - own[np.arange(len(rest)), code[:, j]]
-                cost = squares[j] - 2 * rest[:, j] @ self.words[j].T + (self.weight - 1) * (others[:, None] + own) ** 2
+                others = along - part[j, each, code[:, j]]
+                cost = (others[:, None] + part[j]) ** 2
+                cost *= self.weight - 1
+                cost += error[j]
                 code[:, j] = cost.argmin(axis=1)
-                along = others + own[np.arange(len(rest)), code[:, j]]
+                along = others + part[j, each, code[:, j]]
         return code
 
 

@@ -118,6 +118,22 @@ def spherical_kmeans(sample: np.ndarray, k: int, rounds: int = 6, seed: int = 1)
     return centres
 
 
+def without_near_copies(centres: np.ndarray, sample: np.ndarray, alike: float) -> np.ndarray:
+    """Centres with a cosine of at least ``alike`` to a heavier one join it, weighted by their vectors in the sample.
+
+    K-means gives a large group of similar vectors many centres, which would tear its members apart."""
+    weight = np.maximum(np.bincount(nearest_cells(sample, centres, 1, 0.0)[:, 0], minlength=len(centres)), 1).astype(np.float32)
+    dots, left, out = centres @ centres.T, np.ones(len(centres), bool), []
+    for i in np.argsort(-weight, kind="stable"):
+        if left[i]:
+            near = left & (dots[i] >= alike)
+            near[i] = True
+            out.append((centres[near] * weight[near, None]).sum(axis=0))
+            left &= ~near
+    sums = np.array(out, np.float32)
+    return sums / np.linalg.norm(sums, axis=1)[:, None]
+
+
 @dataclass(frozen=True)
 class Cells:
     """Overlapping cells: a vector lies in the cells of its ``most`` nearest centres whose cosine is within
@@ -154,12 +170,12 @@ def nearest_cells(x: np.ndarray, centres: np.ndarray, most: int, margin: float)
     return out
 
 
-def train_cells(sample: np.ndarray, n_rows: int, most: int = 3, margin: float = 0.15, block: int = 16_384) -> Cells:
+def train_cells(sample: np.ndarray, n_rows: int, most: int = 3, margin: float = 0.15, block: int = 16_384, alike: float = 0.85) -> Cells:
     """Cells for about ``n_rows`` vectors, from a bounded sample of them."""
     k = 2 ** round(math.log2(max(n_rows / PER_CENTRE, 1)))
     k = max(1, min(k, MOST_CENTRES, len(sample)))
-    centres = spherical_kmeans(sample, k)
-    counts = np.bincount(nearest_cells(sample, centres, most, margin).ravel() + 1, minlength=k + 1)[1:]
+    centres = without_near_copies(spherical_kmeans(sample, k), sample, alike)
+    counts = np.bincount(nearest_cells(sample, centres, most, margin).ravel() + 1, minlength=len(centres) + 1)[1:]
     expected = counts * (n_rows / max(len(sample), 1))
     return Cells(centres, np.maximum(1, np.ceil(expected / block)).astype(np.int64), most, margin)
 
