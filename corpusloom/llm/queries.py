@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.clusters import cluster_profiles, mutual_clusters, similarity_clusters
-from corpusloom.llm.mixture import mixture
+from corpusloom.llm.mixture import mixture, source_name
 from corpusloom.llm.neighbours import most_similar, similar_pairs
 from corpusloom.llm.packing import fill_report, packed
 from corpusloom.llm.records import record_classes, record_counts
-from corpusloom.llm.residue import find_residue
+from corpusloom.llm.residue import find_residue, residue_on_unseen_hosts
 from corpusloom.llm.subset import varied_subsets
 from corpusloom.llm.tokens import token_counts
 from corpusloom.plans.tables import table
@@ -93,6 +93,10 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return find_residue(table(spark, folder, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id"))
 
 
+def p8_unseen_hosts(spark: SparkSession, folder: str) -> DataFrame:
+    return residue_on_unseen_hosts(table(spark, folder, "documents"), "doc_id", "text", source_name(F.col("source")))
+
+
 QUERIES = {
     "p1_found": (p1_found, None),
     "p1_cluster_profiles": (p1_cluster_profiles, None),
@@ -108,4 +112,5 @@ QUERIES = {
     "p7_mixture": (p7_mixture, None),
     "p7_shares": (p7_shares, None),
     "p8_found": (p8_found, None),
+    "p8_unseen_hosts": (p8_unseen_hosts, None),
 }

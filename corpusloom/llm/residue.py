@@ -170,3 +170,19 @@ def find_residue(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     if model is None:
         return rows.select(F.col(id_col).alias("doc"), F.lit(0.0).alias("score")).limit(0)
     return model.faulty(rows, id_col, text_col)
+
+
+def residue_on_unseen_hosts(rows: DataFrame, id_col: str, text_col: str, host: Column, folds: int = 5) -> DataFrame:
+    """One row: n_docs, n_weak, n_found, n_both, precision and recall against the weak labels, on the documents of
+    one in ``folds`` hosts (by the hash of their name; no host is a host too), by a classifier that was trained on the others.
+
+    No rows where the training part has no weak label, or nothing else."""
+    held = F.pmod(F.xxhash64(F.coalesce(host, F.lit(""))), F.lit(folds)) == 0
+    model = train_residue(rows.filter(~held), id_col, text_col)
+    if model is None:
+        return rows.sparkSession.createDataFrame([], "n_docs bigint, n_weak bigint, n_found bigint, n_both bigint, precision double, recall double")
+    scored = model.scored(rows.filter(held), id_col, text_col)
+    found = (F.col("score") >= 0.5).cast("double")
+    docs = scored.groupBy("doc").agg(F.max(weak_label(F.col("part"))).alias("weak"), F.max(found).alias("found"))
+    out = docs.agg(F.count("*").alias("n_docs"), F.count_if(F.col("weak") == 1).alias("n_weak"), F.count_if(F.col("found") == 1).alias("n_found"), F.count_if((F.col("weak") == 1) & (F.col("found") == 1)).alias("n_both"))
+    return out.withColumn("precision", F.round(F.try_divide("n_both", "n_found"), 6)).withColumn("recall", F.round(F.try_divide("n_both", "n_weak"), 6))
