@@ -126,3 +126,16 @@ def ivf_top_k(index: DataFrame, query: list[float], centres: list[list[float]],
     score = -((c - q) ** 2).sum(axis=1) if metric == "euclidean" else c @ q
     nearest = np.argsort(-score, kind="stable")[:probes].tolist()
     return top_k(index.filter(F.col(cell_col).isin(nearest)), query, k, metric, None, id_col, vector_col)
+
+
+def vector_search(index: DataFrame, query: list[float], k: int = 10, namespace: str = "", condition: dict[str, Any] | None = None, include_metadata: bool = True, include_values: bool = False, metric: str = "cosine") -> DataFrame:
+    """``top_k`` within a namespace over a table (namespace, id, values, metadata), with the parts asked for."""
+    keep = ["metadata"] * include_metadata + ["values"] * include_values
+    return top_k(index.filter(F.col("namespace") == namespace), query, k, metric, condition, keep=keep)
+
+
+def text_search(index: DataFrame, text: str, model: Any, k: int = 10, role: str = "query", **options: Any) -> DataFrame:
+    """``vector_search`` for the vector of a text; ValueError for blank text."""
+    from corpusloom.operators.embedding import query_vector
+
+    return vector_search(index, query_vector(text, model, role), k, **options)

@@ -95,3 +95,26 @@ def test_subset(spark):
     assert 1 <= kmeans_subset(usable, 3, 2).count() <= 3
     with pytest.raises(ValueError):
         kmeans_subset(usable, 13, 2)
+
+
+def test_text_search(spark):
+    from corpusloom.operators.embedding import HashingEmbedder, embedded
+    from corpusloom.operators.search import text_search
+
+    docs = spark.createDataFrame([("a", "tax law ruling"), ("b", "bread recipe"), ("c", "tax appeal")], "id string, mdtext string")
+    index = embedded(docs, role="query").select(F.lit("n").alias("namespace"), "id", F.col("embedding").alias("values"), F.struct(F.col("id").alias("documentId")).alias("metadata"))
+    got = text_search(index, "tax law ruling", HashingEmbedder(), 2, namespace="n").collect()
+    assert got[0].id == "a" and got[0].metadata.documentId == "a" and "values" not in got[0].asDict()
+    only = text_search(index, "tax law ruling", HashingEmbedder(), 2, namespace="n", condition={"metadata.documentId": {"$ne": "a"}}, include_values=True).collect()
+    assert [r.id for r in only] == ["c", "b"] and len(only[0]["values"]) == 64
+    assert text_search(index, "x", HashingEmbedder(), namespace="other").count() == 0
+    with pytest.raises(ValueError):
+        text_search(index, " ", HashingEmbedder())
+
+
+def test_sql_functions(spark):
+    from corpusloom.functions.register import register_functions
+
+    assert "vector_cosine" in register_functions(spark)
+    row = spark.sql("select vector_dot(array(3, 4), array(4, 3)), vector_norm(array(3, 4)), vector_cosine(array(3, 4), array(4, 3)), vector_cosine(array(0, 0), array(1, 1)), vector_distance(array(1, 2), array(2, 4)), window_count(1000, 512, 64), window_count(0, 4, 1)").first()
+    assert [round(x, 9) for x in row] == [24.0, 5.0, 0.96, 0.0, 5.0, 3, 0]
