@@ -184,7 +184,7 @@ def _tile(table: pa.Table, k: int, least: float, shortlist: int, dim: int, centr
         pairs = [(0, 1), (1, 0)] if len(sides) == 2 else []
     out: list[list] = [[], [], []]
     for a, b in pairs:
-        for q, o, cos in _best(sides[a], sides[b], a == b, codes[b], lengths[b], books, centre, k, least, max(shortlist, len(sides[b].unit) // 64)):
+        for q, o, cos in _best(sides[a], sides[b], a == b, codes[b], lengths[b], books, centre, k, least, max(shortlist, len(sides[b].unit) // 40)):
             out[0].append(sides[a].ids[q])
             out[1].append(sides[b].ids[o])
             out[2].append(cos)
@@ -194,13 +194,13 @@ def _tile(table: pa.Table, k: int, least: float, shortlist: int, dim: int, centr
     return pa.table([pa.array(np.concatenate(out[0]), pa.string()), pa.array(np.concatenate(out[1]), pa.string()), pa.array(np.concatenate(out[2]))], names)
 
 
-def most_similar(rows: DataFrame, dim: int, k: int = 3, least: float = 0.75, id_col: str = "id", vector_col: str = "embedding", subspaces: int | None = None, shortlist: int = 64) -> DataFrame:
+def most_similar(rows: DataFrame, dim: int, k: int = 3, least: float = 0.75, id_col: str = "id", vector_col: str = "embedding", subspaces: int | None = None, shortlist: int = 96) -> DataFrame:
     """(id, rank, other, cosine): for each id with a usable vector the ``k`` others of highest cosine (in
     double precision from the stored values, rounded to 6 decimals, ties to the smaller id), without those below ``least``.
 
     Cells, their centres and the four-bit codebooks come from a bounded sample (``sample_size``); all
     vectors are indexed and all are queries.  Within a tile of a cell the residuals are quantised with the
-    anisotropic loss, table scans pick ``shortlist`` candidates (or 1/64 of the tile, if more), and these
+    anisotropic loss, table scans pick ``shortlist`` candidates (or 1/40 of the tile, if more), and these
     are ranked by exact cosines.  Equal vectors count once in a scan and keep their k + 1 smallest ids, so
     ties among any number of copies come out right.  Neighbours that share no tile are missed; the tests
     measure the share found.
