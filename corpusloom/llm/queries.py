@@ -97,8 +97,31 @@ def p8_unseen_hosts(spark: SparkSession, folder: str) -> DataFrame:
     return residue_on_unseen_hosts(table(spark, folder, "documents"), "doc_id", "text", source_name(F.col("source")))
 
 
+_SIMILAR = """
+with usable as (
+  select id, any_value(embedding::double[]) as v from chunk_embeddings
+  where id is not null and len(embedding) = 128 and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))) and list_bool_or(list_transform(embedding, lambda x: x <> 0))
+  group by id
+), links as (
+  select a.id as a, b.id as b, round(list_cosine_similarity(a.v, b.v), 6) as c from usable a, usable b where list_cosine_similarity(a.v, b.v) >= 0.75
+)
+"""
+_P1 = _SIMILAR + """, firsts as (
+  select a, min(b) as m, count(*) as d from links group by a
+), together as (
+  select x.m, count(*) as pairs from links s join firsts x on x.a = s.a join firsts y on y.a = s.b and y.m = x.m group by x.m
+), whole as (
+  select m from firsts join together using (m) group by m, pairs having count(*) >= 5 and min(d) = count(*) and max(d) = count(*) and pairs = count(*) * count(*)
+)
+select m as cluster_id, a as id from firsts join whole using (m)"""
+_P5 = _SIMILAR + """, ranked as (
+  select a, b, row_number() over (partition by a order by c desc, b) as place from links where a <> b
+)
+select distinct least(a, b) as id_a, greatest(a, b) as id_b from ranked where place <= 3"""
+
+
 QUERIES = {
-    "p1_found": (p1_found, None),
+    "p1_found": (p1_found, _P1),
     "p1_cluster_profiles": (p1_cluster_profiles, None),
     "p2_varied_subsets": (p2_varied_subsets, None),
     "p4_found": (p4_found, _P4 + "select distinct keep as documentid_keep, id as documentid_copy from classes where id <> keep"),
@@ -106,7 +129,7 @@ QUERIES = {
         p4_record_counts,
         _P4 + "select keep as documentid_keep, count(distinct id) as n_ids, cast(count(*) as bigint) as n_rows from classes group by keep",
     ),
-    "p5_found": (p5_found, None),
+    "p5_found": (p5_found, _P5),
     "p6_packed": (p6_packed, None),
     "p6_fill_report": (p6_fill_report, None),
     "p7_mixture": (p7_mixture, None),
