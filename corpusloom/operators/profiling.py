@@ -48,15 +48,13 @@ def totals(profiles: DataFrame) -> DataFrame:
     return profiles.agg(F.count("*").alias("n_tables"), F.sum("n_rows").alias("n_rows"), F.sum("n_distinct").alias("n_distinct"))
 
 
-def percentiles(col: str, *points: float) -> list[Column]:
-    """Exact percentiles with linear interpolation, 0 for no values, as p50, p90, ..."""
-    return [F.round(F.coalesce(F.percentile(col, p / 100), F.lit(0.0)), 6).alias(f"p{p:g}".replace(".", "_")) for p in points]
-
-
-def length_statistics(df: DataFrame, col: str) -> DataFrame:
-    """One row: n, least, most, mean, p50, p90, p95, p99 of a numeric column; zeros for an empty table, nulls left out."""
+def length_statistics(df: DataFrame, col: str, points: tuple[int, ...] = (50, 90, 95, 99)) -> DataFrame:
+    """One row: n, least, most, mean and exact percentiles with linear interpolation (p50, ...) of a numeric
+    column; zeros for an empty table, nulls left out.  All percentiles come from one aggregation."""
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return df.agg(F.count(col).alias("n"), zero(F.min(col)).alias("least"), zero(F.max(col)).alias("most"), F.round(F.coalesce(F.avg(col), F.lit(0.0)), 6).alias("mean"), *percentiles(col, 50, 90, 95, 99))
+    out = df.agg(F.count(col).alias("n"), zero(F.min(col)).alias("least"), zero(F.max(col)).alias("most"), F.round(F.coalesce(F.avg(col), F.lit(0.0)), 6).alias("mean"), F.percentile(col, [p / 100 for p in points]).alias("_p"))
+    at = [F.round(F.coalesce(F.get("_p", F.lit(i)), F.lit(0.0)), 6).alias(f"p{p}") for i, p in enumerate(points)]
+    return out.select("n", "least", "most", "mean", *at)
 
 
 def sample_exact(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
