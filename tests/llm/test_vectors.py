@@ -7,7 +7,7 @@ from corpusloom.llm import clusters, neighbours
 from corpusloom.llm.clusters import cluster_profiles, markov_clusters, mutual_clusters, similarity_clusters
 from corpusloom.llm.neighbours import most_similar, similar_pairs
 from corpusloom.llm.subset import Features, agglomerate, cut, varied_subsets
-from corpusloom.llm.vectors import pack, tiled, train_cells, units, unpack, usable_vectors
+from corpusloom.llm.vectors import Cells, pack, tiled, train_cells, units, unpack, usable_vectors
 
 DIM = 64
 SCHEMA = "id string, embedding array<float>, vec string, tile int, hash string"
@@ -131,6 +131,27 @@ def test_clusters(spark, monkeypatch, block):
     assert all(profiles[c].n_members == n and len(profiles[c].typical_ids) == 3 and (c, profiles[c].typical_ids[0]) in want for c, n in sizes.items())
 
 
+@pytest.mark.parametrize("centres, held", [(60, 32_768), (60, 100), (10_000, 100)])
+def test_clusters_that_share_no_cell(spark, monkeypatch, centres, held):
+    """Each vector in one of many cells, or all but alone in it: most links are between vectors without a common cell."""
+    vectors = planted([80, 40, 12, 6, 5, 4], 100, noise=0.1)
+    first = vectors[0][1].astype(float) / np.linalg.norm(vectors[0][1].astype(float))
+    across = np.eye(DIM)[0] - first[0] * first
+    # Linked with some members of the first group only.
+    vectors.append(("outside", (0.75 * first + 0.66 * across / np.linalg.norm(across)).astype(np.float16)))
+
+    def scattered(sample, n, most, margin):
+        chosen = sample[np.random.default_rng(3).permutation(len(sample))[:centres]]
+        return Cells(chosen, np.ones(len(chosen), np.int64), 1, 0.0)
+
+    monkeypatch.setattr(clusters, "train_cells", scattered)
+    monkeypatch.setattr(clusters, "HELD", held)
+    monkeypatch.setattr(clusters, "BLOCK", 30)
+    got = [(r.cluster_id, r.id) for r in mutual_clusters(similarity_clusters(table(spark, vectors), DIM)).collect()]
+    want = cliques_by_hand(vectors)
+    assert len(got) == len(set(got)) and set(got) == want and len({c for c, _ in want}) >= 3
+
+
 def test_clusters_of_little(spark):
     for few in ([], BAD, [("a", [1.0] * DIM)]):
         found = similarity_clusters(table(spark, few), DIM)
