@@ -128,6 +128,96 @@ def ivf_top_k(index: DataFrame, query: list[float], centres: list[list[float]],
     return top_k(index.filter(F.col(cell_col).isin(nearest)), query, k, metric, None, id_col, vector_col)
 
 
+#: Rows a cell is trained on, most rows to train on, rows to choose the probes with.
+TRAINED, TRAIN_ROWS, TRIED = 64, 1_000_000, 256
+
+
+def cell_centres(index: DataFrame, dim: int, id_col: str = "id", vector_col: str = "values", rounds: int = 10, seed: int = 7) -> np.ndarray:
+    """Centres of length 1 of about sqrt(n) cells, by k-means over the directions of about ``TRAIN_ROWS`` rows at most."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    v = F.col(vector_col).cast("array<double>")
+    usable = index.select(F.col(id_col).alias("id"), v.alias("v")).filter((F.size("v") == dim) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)) & (V.norm(F.col("v")) > 0))
+    n = usable.count()
+    if not n:
+        return np.empty((0, dim))
+    train = usable.filter(F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(max(1, round(n / TRAIN_ROWS)))) == 0)
+    k = max(1, min(round(n**0.5), n // TRAINED, TRAIN_ROWS // TRAINED))
+    if k == 1:
+        return np.ones((1, dim)) / dim**0.5
+    model = KMeans(k=k, maxIter=rounds, seed=seed).fit(train.select(array_to_vector(V.normalised(F.col("v"))).alias("features")))
+    centres = np.array(model.clusterCenters(), np.float64)
+    return centres / np.maximum(np.linalg.norm(centres, axis=1), 1e-12)[:, None]
+
+
+def in_cells(rows: DataFrame, centres: np.ndarray, most: int, id_col: str = "id", vector_col: str = "values") -> DataFrame:
+    """(id, v, cell, place): each usable vector once for each of its ``most`` nearest cells by cosine, the nearest at place 0."""
+    shared, dim = rows.sparkSession.sparkContext.broadcast(centres), centres.shape[1]
+    wanted = rows.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter("id is not null and v is not null")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, x = _matrix(batch.column("v"), dim)
+            for i in range(0, len(at), 1024):
+                cells = np.argsort(-(x[i : i + 1024] @ shared.value.T), axis=1, kind="stable")[:, :most]
+                take = pa.array(np.repeat(at[i : i + 1024], cells.shape[1]))
+                place = np.tile(np.arange(cells.shape[1]), len(cells))
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("v").take(take), pa.array(cells.ravel(), pa.int32()), pa.array(place, pa.int32())], ["id", "v", "cell", "place"])
+
+    return wanted.mapInArrow(run, f"id {dict(rows.dtypes)[id_col]}, v array<double>, cell int, place int")
+
+
+def enough_probes(index: DataFrame, centres: np.ndarray, k: int = 10, share: float = 0.95, id_col: str = "id", vector_col: str = "values") -> int:
+    """The fewest cells to search for ``share`` of the true ``k`` nearest by cosine, measured with about TRIED of the rows as queries."""
+    tried = index.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit("tried")), F.lit(max(1, index.count() // TRIED))) == 0).limit(2 * TRIED)
+    exact = batch_top_k(index, tried, centres.shape[1], k, "cosine", id_col, vector_col, id_col, skip_self=True).select("query_id", "id")
+    homes = in_cells(index, centres, 1, id_col, vector_col).select("id", "cell").join(F.broadcast(exact), "id")
+    order = in_cells(tried, centres, len(centres), id_col, vector_col).select(F.col("id").alias("query_id"), "cell", "place")
+    places = {r.place: r.n for r in homes.join(order, ["query_id", "cell"]).groupBy("place").agg(F.count("*").alias("n")).collect()}
+    counts = np.array([places.get(i, 0) for i in range(len(centres))])
+    return int(np.searchsorted(counts.cumsum(), share * counts.sum())) + 1 if counts.sum() else len(centres)
+
+
+def ivf_batch_top_k(index: DataFrame, queries: DataFrame, centres: np.ndarray, probes: int, k: int = 10, id_col: str = "id", vector_col: str = "values", skip_self: bool = False) -> DataFrame:
+    """As ``batch_top_k`` by cosine, for each query over the rows of the ``probes`` cells nearest to it.
+
+    With as many probes as centres the result is exact.  The queries of a cell are taken in blocks of about QUERY_BLOCK."""
+    kind, dim = dict(index.dtypes)[id_col], centres.shape[1]
+    homes = in_cells(index, centres, 1, id_col, vector_col).select("cell", "id", "v")
+    asked = in_cells(queries, centres, probes, id_col, vector_col).select("cell", "id", "v")
+    parts = asked.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("parts"))
+    # Expressions by name: both sides come from the same rows.
+    homes = homes.join(parts.selectExpr("cell", "parts as copies"), "cell").selectExpr("cell", "explode(sequence(0, copies - 1)) as part", "id", "v")
+    asked = asked.join(parts, "cell").selectExpr("cell", "cast(pmod(xxhash64(id), parts) as int) as part", "id", "v")
+
+    def run(rows: pa.Table, wanted: pa.Table) -> pa.Table:
+        kept = []
+        sides = []
+        for side in (rows, wanted):
+            x = side.column("v").combine_chunks().flatten().to_numpy().reshape(-1, dim)
+            ids = np.array(side.column("id").to_pylist())
+            order = np.argsort(ids, kind="stable")
+            sides.append((ids[order], x[order], np.sqrt(np.einsum("ij,ij->i", x, x))[order]))
+        (ids, x, own), (names, q, length) = sides
+        for i in range(0, len(q) if len(x) else 0, 256):
+            norm = length[i : i + 256, None] * own
+            s = np.round(np.where(norm == 0, 0.0, q[i : i + 256] @ x.T / np.where(norm == 0, 1.0, norm)), 6)
+            if skip_self:
+                s[names[i : i + 256, None] == ids] = -np.inf
+            top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            value = np.take_along_axis(s, top, axis=1)
+            r, c = np.nonzero(value > -np.inf)
+            kept.append((names[i + r], ids[top[r, c]], value[r, c]))
+        kind_of = rows.schema.field("id").type
+        columns = [np.concatenate(c) for c in zip(*kept)] if kept else [[], [], []]
+        return pa.table([pa.array(columns[0], kind_of), pa.array(columns[1], kind_of), pa.array(columns[2], pa.float64())], ["query_id", "id", "score"])
+
+    found = homes.groupBy("cell", "part").cogroup(asked.groupBy("cell", "part")).applyInArrow(run, f"query_id {kind}, id {kind}, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+
+
 def vector_search(index: DataFrame, query: list[float], k: int = 10, namespace: str = "", condition: dict[str, Any] | None = None, include_metadata: bool = True, include_values: bool = False, metric: str = "cosine") -> DataFrame:
     """``top_k`` within a namespace over a table (namespace, id, values, metadata), with the parts asked for."""
     keep = ["metadata"] * include_metadata + ["values"] * include_values

@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +81,34 @@ def test_pruned(spark, index):
     assert ivf_top_k(cells, [1.0, 0.0], centres, 2, 9).collect() == top_k(index, [1.0, 0.0], 9).collect()
 
 
+def test_pruned_batch(spark):
+    from corpusloom.operators.search import cell_centres, enough_probes, ivf_batch_top_k
+
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(20, 8)), 50, axis=0) + 0.2 * rng.normal(size=(1000, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1001, [1.0]), (1002, [0.0] * 8)], "id long, values array<float>")
+    queries = df.filter("id % 20 = 0")
+    centres = cell_centres(df, 8)
+    probes = enough_probes(df, centres)
+    want = {tuple(r) for r in batch_top_k(df, queries, 8, 10, skip_self=True).collect()}
+    pairs = lambda rows: {(r[0], r[2]) for r in rows}
+    got = ivf_batch_top_k(df, queries, centres, probes, skip_self=True).collect()
+    assert 1 < len(centres) and probes < len(centres)
+    assert len(pairs(got) & pairs(want)) >= 0.9 * len(want)
+    assert {tuple(r) for r in ivf_batch_top_k(df, queries, centres, len(centres), skip_self=True).collect()} == want
+    assert len(cell_centres(df.limit(0), 8)) == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_recall_of_search_pruned(spark):
+    from corpusloom.plans.vector_queries import DIM, _index, search_pruned
+
+    rows = _index(spark, "/root/testdata/sf0.01")
+    want = {(r.query_id, r.id) for r in batch_top_k(rows, rows.filter("id % 20 = 0"), DIM, 10, skip_self=True).collect()}
+    got = {(r.query_id, r.id) for r in search_pruned(spark, "/root/testdata/sf0.01").collect()}
+    assert len(want) and len(got & want) >= 0.9 * len(want)
+
+
 def test_subset(spark):
     rows = spark.createDataFrame([(i, [float(i % 3), float(i // 3)], i % 2) for i in range(12)] + [(99, None, 0)], "vec_id long, embedding array<float>, label int")
     centres = label_centres(rows.filter("embedding is not null"))
