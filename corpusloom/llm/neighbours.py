@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.vectors import Cells, nearest_cells, sample_size, sample_vectors, tiled, train_cells, units, unpack, usable_vectors
 
-#: Codewords of a subspace: four bits.  Rows encoded at once.
-WORDS, ENCODED = 16, 4096
+#: Codewords of a subspace: four bits.  Rows encoded at once; rows to train codebooks on.
+WORDS, ENCODED, TRAINED = 16, 4096, 8192
 
 
 @dataclass(frozen=True)
@@ -52,6 +52,11 @@ class Codebooks:
         return code
 
 
+def drawn(sample: np.ndarray, most: int, seed: int = 3) -> np.ndarray:
+    """At most ``most`` rows of the whole sample, at random."""
+    return sample if len(sample) <= most else sample[np.sort(np.random.default_rng(seed).choice(len(sample), most, replace=False))]
+
+
 def _lengths(rest: np.ndarray) -> np.ndarray:
     return np.maximum(np.linalg.norm(rest, axis=1), 1e-12)
 
@@ -198,7 +203,7 @@ def most_similar(rows: DataFrame, dim: int, k: int = 3, least: float = 0.75, id_
     """(id, rank, other, cosine): for each id with a usable vector the ``k`` others of highest cosine (in
     double precision from the stored values, rounded to 6 decimals, ties to the smaller id), without those below ``least``.
 
-    Cells, their centres and the four-bit codebooks come from a bounded sample (``sample_size``); all
+    Cells and their centres come from a sample that grows with the rows (``sample_size``), the four-bit codebooks from TRAINED of it; all
     vectors are indexed and all are queries.  Within a tile of a cell the residuals are quantised with the
     anisotropic loss, table scans pick ``shortlist`` candidates (or 1/40 of the tile, if more), and these
     are ranked by exact cosines.  Equal vectors count once in a scan and keep their k + 1 smallest ids, so
@@ -215,7 +220,7 @@ def most_similar(rows: DataFrame, dim: int, k: int = 3, least: float = 0.75, id_
     if not len(sample):
         return spark.createDataFrame([], "id string, rank int, other string, cosine double")
     cells = train_cells(sample, n)
-    books = train_codebooks(sample[:8192], cells, subspaces or dim // 2)
+    books = train_codebooks(drawn(sample, TRAINED), cells, subspaces or dim // 2)
     shared = spark.sparkContext.broadcast((cells.centres, books))
 
     def run(table: pa.Table) -> pa.Table:

@@ -118,15 +118,25 @@ def spherical_kmeans(sample: np.ndarray, k: int, rounds: int = 6, seed: int = 1)
     return centres
 
 
+def two_level_kmeans(sample: np.ndarray, k: int) -> np.ndarray:
+    """As ``spherical_kmeans``; more than FLAT centres in two levels, each coarse group getting its share of them."""
+    if k <= FLAT:
+        return spherical_kmeans(sample, k)
+    coarse = spherical_kmeans(sample, round(math.sqrt(k)))
+    own = nearest_cells(sample, coarse, 1, 0.0)[:, 0]
+    groups = [sample[own == g] for g in np.unique(own)]
+    return np.concatenate([spherical_kmeans(group, max(1, round(k * len(group) / len(sample)))) for group in groups])
+
+
 def without_near_copies(centres: np.ndarray, sample: np.ndarray, alike: float) -> np.ndarray:
     """Centres with a cosine of at least ``alike`` to a heavier one join it, weighted by their vectors in the sample.
 
     K-means gives a large group of similar vectors many centres, which would tear its members apart."""
     weight = np.maximum(np.bincount(nearest_cells(sample, centres, 1, 0.0)[:, 0], minlength=len(centres)), 1).astype(np.float32)
-    dots, left, out = centres @ centres.T, np.ones(len(centres), bool), []
+    left, out = np.ones(len(centres), bool), []
     for i in np.argsort(-weight, kind="stable"):
         if left[i]:
-            near = left & (dots[i] >= alike)
+            near = left & (centres @ centres[i] >= alike)
             near[i] = True
             out.append((centres[near] * weight[near, None]).sum(axis=0))
             left &= ~near
@@ -152,37 +162,38 @@ class Cells:
         return np.concatenate([[0], np.cumsum(self.blocks * (self.blocks + 1) // 2)])[:-1]
 
 
-#: Vectors to a centre, sampled vectors to a centre, and the largest number of centres.
-PER_CENTRE, SAMPLED, MOST_CENTRES = 100, 16, 4096
+#: Vectors to a centre, sampled vectors to a centre, and the centres from which they are trained in two levels.
+PER_CENTRE, SAMPLED, FLAT = 100, 16, 4096
 
 
 def nearest_cells(x: np.ndarray, centres: np.ndarray, most: int, margin: float) -> np.ndarray:
     """(rows, most): cells of each row, nearest first, -1 for none."""
     most = min(most, len(centres))
     out = np.empty((len(x), most), np.int32)
-    for i in range(0, len(x), 2048):
-        dots = x[i : i + 2048] @ centres.T
+    rows = max(64, 2048 * FLAT // max(len(centres), FLAT))
+    for i in range(0, len(x), rows):
+        dots = x[i : i + rows] @ centres.T
         top = np.argpartition(-dots, most - 1, axis=1)[:, :most] if most < dots.shape[1] else np.tile(np.arange(most), (len(dots), 1))
         value = np.take_along_axis(dots, top, axis=1)
         order = np.argsort(-value, axis=1, kind="stable")
         top, value = np.take_along_axis(top, order, axis=1), np.take_along_axis(value, order, axis=1)
-        out[i : i + 2048] = np.where(value >= value[:, :1] - margin, top, -1)
+        out[i : i + rows] = np.where(value >= value[:, :1] - margin, top, -1)
     return out
 
 
 def train_cells(sample: np.ndarray, n_rows: int, most: int = 3, margin: float = 0.15, block: int = 16_384, alike: float = 0.85) -> Cells:
-    """Cells for about ``n_rows`` vectors, from a bounded sample of them."""
+    """Cells for about ``n_rows`` vectors, from a sample of them; their number grows with the rows."""
     k = 2 ** round(math.log2(max(n_rows / PER_CENTRE, 1)))
-    k = max(1, min(k, MOST_CENTRES, len(sample)))
-    centres = without_near_copies(spherical_kmeans(sample, k), sample, alike)
+    k = max(1, min(k, len(sample)))
+    centres = without_near_copies(two_level_kmeans(sample, k), sample, alike)
     counts = np.bincount(nearest_cells(sample, centres, most, margin).ravel() + 1, minlength=len(centres) + 1)[1:]
     expected = counts * (n_rows / max(len(sample), 1))
     return Cells(centres, np.maximum(1, np.ceil(expected / block)).astype(np.int64), most, margin)
 
 
 def sample_size(n_rows: int) -> int:
-    """Rows to train cells on: SAMPLED for each centre, at most SAMPLED * MOST_CENTRES."""
-    return int(min(max(n_rows / PER_CENTRE * SAMPLED, 4096), SAMPLED * MOST_CENTRES))
+    """Rows to train cells on: SAMPLED for each centre."""
+    return int(max(n_rows / PER_CENTRE * SAMPLED, 4096))
 
 
 def tiled(vectors: DataFrame, cells: Cells, dim: int) -> DataFrame:

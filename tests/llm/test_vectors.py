@@ -7,7 +7,7 @@ from corpusloom.llm import clusters, neighbours
 from corpusloom.llm.clusters import cluster_profiles, markov_clusters, mutual_clusters, similarity_clusters
 from corpusloom.llm.neighbours import most_similar, similar_pairs
 from corpusloom.llm.subset import Features, agglomerate, cut, varied_subsets
-from corpusloom.llm.vectors import Cells, pack, tiled, train_cells, units, unpack, usable_vectors
+from corpusloom.llm.vectors import Cells, pack, sample_size, tiled, train_cells, units, unpack, usable_vectors
 
 DIM = 64
 SCHEMA = "id string, embedding array<float>, vec string, tile int, hash string"
@@ -84,6 +84,15 @@ def test_every_pair_of_a_cell_meets(spark):
     assert met == {frozenset((a, b)) for ids in by_cell.values() for a in ids for b in ids if a != b}
 
 
+def test_cells_grow_with_the_table():
+    sample = units(np.random.default_rng(5).normal(size=(20_000, 8))).astype(np.float32)
+    cells = train_cells(sample, 1_000_000, alike=1.1)
+    assert len(cells.centres) > 8000 and sample_size(2_000_000) == 320_000
+    assert np.allclose(np.linalg.norm(cells.centres, axis=1), 1, atol=1e-5)
+    rows = neighbours.drawn(np.arange(100_000).reshape(-1, 1), 8192)
+    assert len(set(rows.ravel())) == 8192 and abs(rows.mean() - 50_000) < 2000
+
+
 @pytest.mark.parametrize("block", [16_384, 60])
 def test_neighbours(spark, monkeypatch, block):
     vectors = planted([120, 30, 5, 2], 200)
