@@ -118,6 +118,12 @@ def text_previews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def role_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole texts as they are embedded in each role, by their digests."""
+    roles = {role: with_role(F.col("text"), role) for role in ("passage", "query")}
+    return table(spark, folder, "documents").select("doc_id", *[f(x).alias(f"{role}_{what}") for role, x in roles.items() for what, f in (("digest", F.sha1), ("length", F.length))])
+
+
 def safe_casts(spark: SparkSession, folder: str) -> DataFrame:
     columns = ("esasnoyil", "esasnosira", "kararnoyil", "kararnosira")
     numbers = [safe_int(F.col(c)).alias(f"{c}_n") for c in columns]
@@ -168,6 +174,10 @@ QUERIES = {
         """select doc_id, case when length(text) > 200 then substring(text, 1, 200) || '...' else text end as preview, case when length(text) > 300 then substring(text, 1, 300) || '...' else text end as snippet,
            case when length(text) > 50 then substring(text, 1, 47) || '...' else text end as short, 'passage: ' || coalesce(substring(text, 1, 40), '') as passage, 'query: ' || coalesce(substring(text, 1, 40), '') as query from documents""",
     ),
+    "role_texts": (
+        role_texts,
+        "select doc_id, " + ", ".join(f"sha1({x}) as {r}_digest, cast(length({x}) as int) as {r}_length" for r in ("passage", "query") for x in [f"'{r}: ' || coalesce(text, '')"]) + " from documents",
+    ),
     "safe_casts": (
         safe_casts,
         "select documentid, " + ", ".join(f"coalesce({c}, '') as {c}, {_number(c)} as {c}_n" for c in ("esasnoyil", "esasnosira", "kararnoyil", "kararnosira")) + " from merged_unique_documents",
