@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # Fixed value: white space that separates tokens: blank, tab, line feed, carriage return, form feed.
 GAP = r" \t\n\r\u000C"
 
+#: Windows whose lengths are summed at once.
+RUN = 512
+
 CHUNK_COLUMNS = ("id", "doc_id", "chunk_id", "start_char", "end_char", "mdtext", "num_tokens", "source_path", "doc_checksum")
 
 
@@ -32,37 +35,45 @@ def window_count(n: Column, window: int, overlap: int) -> Column:
     return F.when(n > 0, 1 + more).otherwise(F.lit(0)).cast("int")
 
 
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda total, x: total + x)
+
+
 def chunk_documents(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 512, overlap: int = 64, source: str = "") -> DataFrame:
     """The windows of ``window`` tokens, ``overlap`` shared, of every text: CHUNK_COLUMNS.
 
     Tokens are runs without white space; offsets count code points; ``id`` is the SHA-1 of
     ``doc_id:chunk_id@start-end`` and ``doc_checksum`` that of the text.  All in the JVM and without a shuffle.
     Null ids are left out (see ``without_id``); null, empty and blank texts give no window;
-    a text of any length is cut whole; equal ids give equal chunk ids.  Other columns are dropped.
+    a text of any length is cut whole, in time that grows with its length; equal ids give equal chunk ids.  Other columns are dropped.
     """
     step = stride_of(window, overlap)
     docs = rows.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("_text")).filter("doc_id is not null and _text is not null")
     # Each piece is a token with the white space before it, so the pieces tile the text.
     docs = docs.withColumn("_pieces", F.regexp_extract_all("_text", F.lit(f"[{GAP}]*[^{GAP}]+"), 0)).filter(F.size("_pieces") > 0)
-    docs = docs.withColumn("doc_checksum", F.sha1("_text"))
     last = F.greatest(F.lit(0), F.ceil((F.size("_pieces") - window) / step)).cast("int")
-    cut = docs.select("doc_id", "doc_checksum", "_text", "_pieces", F.explode(F.sequence(F.lit(0), last)).alias("chunk_id"))
-    first = F.col("chunk_id") * step
-    until = F.least(first + window, F.size("_pieces"))
-    cut = cut.withColumn("_from", F.length(F.array_join(F.slice("_pieces", F.lit(1), first), "")))
-    piece = F.get("_pieces", first)
-    body = F.array_join(F.slice("_pieces", first + 1, until - first), "")
-    cut = cut.select(
-        "doc_id", "chunk_id", "doc_checksum", "_from", "_text",
-        (F.length(piece) - F.length(F.regexp_replace(piece, f"^[{GAP}]+", ""))).alias("_gap"),
-        F.length(body).alias("_length"), (until - first).alias("num_tokens"),
-    )
-    start, end = F.col("_from") + F.col("_gap"), F.col("_from") + F.col("_length")
+    each = F.sequence(F.lit(0), last)
+    # Lengths of the pieces from one window's start to the next one's, and their sums by RUN of them: where a
+    # window starts follows from at most RUN of either, so the work grows with the text and not with its square.
+    docs = docs.select("doc_id", F.sha1("_text").alias("doc_checksum"), "_pieces", F.transform(each, lambda i: F.length(F.array_join(F.slice("_pieces", i * step + 1, F.lit(step)), ""))).alias("_strides"))
+    runs = F.sequence(F.lit(0), F.floor((F.size("_strides") - 1) / RUN).cast("int"))
+    docs = docs.select("*", F.transform(runs, lambda j: _total(F.slice("_strides", j * RUN + 1, F.lit(RUN)))).alias("_runs"))
+    windows = F.transform(
+        F.sequence(F.lit(0), F.size("_strides") - 1),
+        lambda i: F.struct(
+            i.alias("chunk_id"),
+            (_total(F.slice("_runs", F.lit(1), F.floor(i / RUN).cast("int"))) + _total(F.slice("_strides", F.floor(i / RUN).cast("int") * RUN + 1, F.pmod(i, F.lit(RUN))))).alias("from"),
+            F.array_join(F.slice("_pieces", i * step + 1, F.lit(window)), "").alias("body"),
+            F.least(F.lit(window), F.size("_pieces") - i * step).alias("num_tokens"),
+        ),
+    )
+    cut = docs.select("doc_id", "doc_checksum", F.explode(windows).alias("w")).select("doc_id", "doc_checksum", "w.*", F.regexp_replace("w.body", f"^[{GAP}]+", "").alias("mdtext"))
+    end = F.col("from") + F.length("body")
+    cut = cut.select("*", (end - F.length("mdtext")).alias("start_char"), end.alias("end_char"))
     return cut.select(
-        chunk_id(F.col("doc_id"), F.col("chunk_id"), start, end).alias("id"),
-        "doc_id", F.col("chunk_id").cast("int").alias("chunk_id"), start.cast("int").alias("start_char"), end.cast("int").alias("end_char"),
-        F.substring("_text", start + 1, end - start).alias("mdtext"), F.col("num_tokens").cast("int").alias("num_tokens"),
-        F.lit(source).alias("source_path"), "doc_checksum",
+        chunk_id(F.col("doc_id"), F.col("chunk_id"), F.col("start_char"), F.col("end_char")).alias("id"),
+        "doc_id", F.col("chunk_id").cast("int").alias("chunk_id"), F.col("start_char").cast("int").alias("start_char"), F.col("end_char").cast("int").alias("end_char"),
+        "mdtext", F.col("num_tokens").cast("int").alias("num_tokens"), F.lit(source).alias("source_path"), "doc_checksum",
     )
 
 

@@ -20,16 +20,16 @@ def current_documents(documents: DataFrame) -> DataFrame:
     return latest(documents.filter("documentid is not null"), ["documentid"], F.col("loaded_at").desc_nulls_last(), F.col("mdtext").asc_nulls_first())
 
 
-def enriched(chunks: DataFrame, documents: DataFrame, parts: int = 16) -> DataFrame:
+def enriched(chunks: DataFrame, documents: DataFrame, rows_per_part: int | None = None) -> DataFrame:
     """Each chunk once, with the flat metadata of its document.
 
     Keys are compared as whole numbers however they are written; a document that was delivered
     several times counts with its latest row, so no chunk is multiplied.  Chunks without a document get the document's id from
-    ``doc_id`` and the values of MISSING; ``found`` tells them apart.  A document with a large share of all chunks is split.
+    ``doc_id`` and the values of MISSING; ``found`` tells them apart.  The chunks of a document with over ``rows_per_part`` of them are split.
     """
     left = chunks.withColumn("_key", integer_key(F.col("doc_id")))
     counted = left.groupBy("_key").count().filter("_key is not null")
-    hot = hot_keys(counted, "_key", chunks.count(), parts)
+    hot = hot_keys(counted, "_key", chunks.count(), rows_per_part)
     columns = ["documentid", *[c for c, _ in MISSING.values()], *TEXTS.values(), *NUMBERS.values()]
     right = current_documents(documents).select(F.col("documentid").alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns])
     joined = split_rows(left, hot, "_key", "id").join(repeat_rows(right, hot, "_key"), ["_key", "part"], "left")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.skew import hot_keys, repeat_rows, split_rows
+from corpusloom.session import written
+
 
 def scan_profile(df: DataFrame, id_col: str) -> DataFrame:
     """One row: n_rows, n_ids (not null), n_null_ids, n_distinct, rows_per_id (null without ids)."""
@@ -23,12 +26,20 @@ def id_uniqueness(df: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def duplicate_rows(df: DataFrame, id_col: str) -> DataFrame:
+def duplicate_rows(df: DataFrame, id_col: str, rows_per_part: int | None = None) -> DataFrame:
     """All rows whose id occurs more than once; nulls count as equal.
 
-    Ids are counted with partial aggregation and joined back, so one frequent id never has to fit in a task."""
-    counts = df.groupBy(F.col(id_col).alias("_id")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_id")
-    return df.join(counts, df[id_col].eqNullSafe(counts["_id"]), "left_semi")
+    Ids are counted with partial aggregation and joined back; the rows of an id with over ``rows_per_part`` of them are
+    spread over several tasks by the hash of the whole row, and null ids need no join at all."""
+    counts = df.groupBy(F.col(id_col).alias("_id")).count()
+    state = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.coalesce(F.max(F.when(F.col("_id").isNull(), F.col("count"))), F.lit(0)).alias("nulls")).first()
+    hot = hot_keys(counts.filter("_id is not null"), "_id", state.n, rows_per_part)
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+    # The row goes as one struct, so names in it do not matter.
+    keyed = df.select(F.col(id_col).alias("_id"), spread.alias("_spread"), F.struct(*[f"`{c}`" for c in df.columns]).alias("_row")).filter("_id is not null")
+    several = repeat_rows(counts.filter("_id is not null and count > 1").select("_id"), hot, "_id")
+    found = split_rows(keyed, hot, "_id", "_spread").join(several, ["_id", "part"], "left_semi").select("_row.*")
+    return found.unionByName(df.filter(F.col(id_col).isNull())) if state.nulls > 1 else found
 
 
 def value_counts(df: DataFrame, col: str, limit: int | None = None, least: int = 1) -> DataFrame:
@@ -50,11 +61,33 @@ def totals(profiles: DataFrame) -> DataFrame:
 
 def length_statistics(df: DataFrame, col: str, points: tuple[int, ...] = (50, 90, 95, 99)) -> DataFrame:
     """One row: n, least, most, mean and exact percentiles with linear interpolation (p50, ...) of a numeric
-    column; zeros for an empty table, nulls left out.  All percentiles come from one aggregation."""
+    column; zeros for an empty table, nulls left out.
+
+    Distinct values are counted, spread over ranges and written; the ranges' totals (a row for each task) tell in which range
+    each wanted position lies, and running totals within the ranges give the values there, so no task holds more than a range."""
     zero = lambda c: F.coalesce(c, F.lit(0))
-    out = df.agg(F.count(col).alias("n"), zero(F.min(col)).alias("least"), zero(F.max(col)).alias("most"), F.round(F.coalesce(F.avg(col), F.lit(0.0)), 6).alias("mean"), F.percentile(col, [p / 100 for p in points]).alias("_p"))
-    at = [F.round(F.coalesce(F.get("_p", F.lit(i)), F.lit(0.0)), 6).alias(f"p{p}") for i, p in enumerate(points)]
-    return out.select("n", "least", "most", "mean", *at)
+    out = df.agg(F.count(col).alias("n"), zero(F.min(col)).alias("least"), zero(F.max(col)).alias("most"), F.round(F.coalesce(F.avg(col), F.lit(0.0)), 6).alias("mean"))
+    counted = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).count()
+    ranges = written(counted.repartitionByRange("v").select(F.spark_partition_id().alias("range"), "v", "count"), "ranges")
+    before = {}
+    n = 0
+    for r in ranges.groupBy("range").agg(F.min("v").alias("v"), F.sum("count").alias("count")).orderBy("v").collect():
+        before[r["range"]] = n
+        n += r["count"]
+    if not n:
+        return out.select("*", *[F.lit(0.0).alias(f"p{p}") for p in points])
+    exact = {p: (n - 1) * p / 100 for p in points}
+    wanted = sorted({int(x) for x in exact.values()} | {min(int(x) + 1, n - 1) for x in exact.values()})
+    offset = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("range"))
+    running = F.sum("count").over(Window.partitionBy("range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    spans = ranges.withColumn("until", offset + running).withColumn("from", F.col("until") - F.col("count"))
+    hit = F.filter(F.lit(wanted), lambda i: (i >= F.col("from")) & (i < F.col("until")))
+    value = {r.i: r.v for r in spans.select("v", F.explode(hit).alias("i")).collect()}
+    found = []
+    for p, x in exact.items():
+        low, high = value[int(x)], value[min(int(x) + 1, n - 1)]
+        found.append(F.round(F.lit(low + (high - low) * (x - int(x))), 6).alias(f"p{p}"))
+    return out.select("*", *found)
 
 
 def sample_exact(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:

@@ -35,7 +35,7 @@ def _referring(references: list[Reference]) -> DataFrame:
     return out.filter(stripped(F.col("ref_text")) != "").withColumn("key", integer_key(F.col("ref_text")))
 
 
-def orphan_references(references: list[Reference], parents: DataFrame, parent_key: str, loaded: str, deleted: str, splits: int = 16) -> DataFrame:
+def orphan_references(references: list[Reference], parents: DataFrame, parent_key: str, loaded: str, deleted: str, rows_per_part: int | None = None) -> DataFrame:
     """Rows of ``references`` whose key leads to no parent row in force at their time.
 
     A parent row is in force from ``loaded`` (included) to ``deleted`` (excluded; null: for ever).
@@ -45,8 +45,8 @@ def orphan_references(references: list[Reference], parents: DataFrame, parent_ke
 
     Distinct keys are anti-joined against the parents' keys and joined back for the absent ones.  The
     others are held against the parents' times in one ordered pass: per key, the latest end among rows
-    loaded so far.  Keys with over 1/HOT_SHARE of all references (fewer than HOT_SHARE of them, so they
-    are broadcast) are spread over ``splits`` parts, for which the key's parent rows are repeated.
+    loaded so far.  Keys of over ``rows_per_part`` references (see ``skew.hot_keys``) are spread over as many
+    parts as it takes, for which the key's parent rows are repeated.
 
     Null or blank keys are no references.  A row without a time is ``not_in_force``, since nothing is in
     force then.  Parent rows with a null key or load time count as missing.  Empty tables on either side
@@ -57,7 +57,7 @@ def orphan_references(references: list[Reference], parents: DataFrame, parent_ke
 
     counted = refs.filter("key is not null").groupBy("key").count()
     total = sum(r.rows.count() for r in references)
-    hot = hot_keys(counted, "key", total, splits)
+    hot = hot_keys(counted, "key", total, rows_per_part)
     keyed = split_rows(refs.filter("key is not null"), hot, "key", "id", "at")
 
     absent = counted.select("key").join(owners.select("key").distinct(), "key", "left_anti")

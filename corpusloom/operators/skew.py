@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A key with more than 1/HOT_SHARE of all rows is split; so there are fewer than HOT_SHARE of them.
-HOT_SHARE = 100
+#: Rows of one key that a task may get, and the most keys that are split (so their table stays small enough to broadcast).
+ROWS, MOST_KEYS = 50_000, 100_000
 
 
-def hot_keys(counted: DataFrame, key: str, total: int, parts: int) -> DataFrame:
-    """Of (``key``, count), the keys with over 1/HOT_SHARE of ``total`` rows, each with its number of parts.
+def hot_keys(counted: DataFrame, key: str, total: int, rows: int | None = None) -> DataFrame:
+    """Of (``key``, count), the keys of more than ``rows`` rows (ROWS if none is given), each with the number of parts it takes so that no part has more.
 
-    Fewer than HOT_SHARE rows whatever the data, so it is broadcast."""
-    return F.broadcast(counted.filter(F.col("count") * HOT_SHARE > total).select(key, F.lit(parts).alias("parts")))
+    Of ``total`` rows at most total / rows keys can be that frequent; where this would be over MOST_KEYS, ``rows`` is raised until it
+    is not.  So at most MOST_KEYS short rows are broadcast, whatever the data."""
+    most = max(rows or ROWS, -(-total // MOST_KEYS))
+    parts = F.ceil(F.col("count") / most).cast("int").alias("parts")
+    return F.broadcast(counted.filter(F.col("count") > most).select(key, parts))
 
 
 def split_rows(rows: DataFrame, hot: DataFrame, key: str, *spread: str) -> DataFrame:

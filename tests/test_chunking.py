@@ -15,11 +15,12 @@ def spans(text):
 
 def by_hand(doc, text, window, overlap):
     tokens, step, out, at = spans(text), max(1, window - overlap), [], 0
+    whole = hashlib.sha1(text.encode()).hexdigest()
     while tokens:
         part = tokens[at : at + window]
         a, b, n = part[0][0], part[-1][1], len(out)
         digest = hashlib.sha1(f"{doc}:{n}@{a}-{b}".encode()).hexdigest()
-        out.append((digest, str(doc), n, a, b, text[a:b], len(part), "", hashlib.sha1(text.encode()).hexdigest()))
+        out.append((digest, str(doc), n, a, b, text[a:b], len(part), "", whole))
         if at + window >= len(tokens):
             break
         at += step
@@ -73,3 +74,9 @@ def test_text(spark):
     assert [r[0] for r in blanks.select(not_blank(F.col("t"))).collect()] == [False, False, False, False, True]
     assert text_column(["id", "content", "text"]) == "text" and text_column(["a", "b"]) == "a"
     assert id_column(["x", "documentid"]) == "documentid" and id_column(["x"]) is None
+
+
+def test_a_very_long_text(spark):
+    text = "  " + "".join(f"w{i % 977}{' ' * (1 + i % 3)}" for i in range(1_000_000))
+    got = chunk_documents(spark.createDataFrame([(1, text)], "doc_id int, text string")).orderBy("chunk_id").collect()
+    assert sorted(map(tuple, got)) == sorted(by_hand(1, text, 512, 64))

@@ -9,10 +9,10 @@ PARENTS = "documentid long, loaded_at timestamp_ntz, deleted_at timestamp_ntz, i
 REFS = "id string, doc_id string, ingested_at timestamp_ntz, key string, part int, count int"
 
 
-def run(spark, refs, parents, splits=16):
+def run(spark, refs, parents, rows_per_part=None):
     rows = spark.createDataFrame([(*r, "k", 1, 2) for r in refs], REFS)
     owners = spark.createDataFrame([(*p, "i", "a", "k") for p in parents], PARENTS)
-    return orphan_references([Reference("chunks", rows, "doc_id", "ingested_at", "id")], owners, "documentid", "loaded_at", "deleted_at", splits)
+    return orphan_references([Reference("chunks", rows, "doc_id", "ingested_at", "id")], owners, "documentid", "loaded_at", "deleted_at", rows_per_part)
 
 
 def test_cases(spark):
@@ -28,11 +28,11 @@ def test_cases(spark):
     assert (counts.ref_month, counts.n_rows, counts.n_keys) == ("2024-01", 4, 3)
 
 
-@pytest.mark.parametrize("splits", [1, 5])
-def test_hot_keys(spark, splits):
+@pytest.mark.parametrize("rows_per_part", [1000, 60])
+def test_hot_keys(spark, rows_per_part):
     parents = [(1, DAY(3), DAY(6)), (2, DAY(1), None)]
     refs = [(f"r{i}", "1", DAY(1 + i % 9)) for i in range(400)] + [(f"s{i}", "9", DAY(2)) for i in range(300)] + [(f"t{i}", str(100 + i), DAY(2)) for i in range(300)]
-    got = sorted(r.id for r in run(spark, refs, parents, splits).collect())
+    got = sorted(r.id for r in run(spark, refs, parents, rows_per_part).collect())
     assert got == sorted([f"r{i}" for i in range(400) if not 3 <= 1 + i % 9 < 6] + [f"s{i}" for i in range(300)] + [f"t{i}" for i in range(300)])
 
 
