@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions import vectors as V
 from corpusloom.operators.filters import filtered
 
-#: Query vectors sent to the tasks at once.
-QUERY_BLOCK = 8192
+#: Values of the query vectors sent to the tasks at once (64 MB), and query vectors of a cell that one task takes.
+QUERY_VALUES, QUERY_BLOCK = 8_000_000, 8192
 
 
 def top_k(index: DataFrame, query: list[float], k: int = 10, metric: str = "cosine", condition: dict[str, Any] | None = None, id_col: str = "id", vector_col: str = "values", keep: list[str] | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def top_k(index: DataFrame, query: list[float], k: int = 10, metric: str = "cosi
     return best.select(rank.alias("rank"), F.col(id_col).alias("id"), F.col("_score").alias("score"), *(keep or []))
 
 
-def _matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+def vector_matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows with a vector of ``dim`` elements, none of them null, and the vectors in double precision."""
     fits = np.asarray(pc.fill_null(pc.equal(pc.list_value_length(column), dim), False))
     values = column.filter(pa.array(fits)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
@@ -41,9 +41,10 @@ def _matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 def batch_top_k(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, metric: str = "cosine", id_col: str = "id", vector_col: str = "values", query_id_col: str = "id", skip_self: bool = False) -> DataFrame:
     """(query_id, rank, id, score): for each query vector its ``k`` most similar rows, exactly.
 
-    Queries are taken in blocks of about QUERY_BLOCK vectors, which bounds what is broadcast; for
-    each block every task multiplies its rows with the block and keeps k candidates for each query, so only
-    those are shuffled.  Scores are rounded to 6 decimals, ties go to the smaller id.  ``skip_self`` leaves out the row of the query's own id.
+    Queries are taken in blocks of about QUERY_VALUES values, which bounds what is broadcast; for
+    each block every task multiplies its rows with the block and keeps the k best so far for each query, so only
+    k rows a query and task are shuffled, however many rows a task has.  Scores are rounded to 6 decimals, ties go to the smaller id.
+    ``skip_self`` leaves out the row of the query's own id.
     Rows and queries with null vectors, null elements or another length than ``dim`` are left out.
     """
     if metric not in V.METRICS:
@@ -53,28 +54,29 @@ def batch_top_k(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, met
     schema = f"query_id {query_kind}, id {kind}, score double"
     wanted = queries.select(F.col(query_id_col).alias("query_id"), F.col(vector_col).cast("array<double>").alias("v")).filter("query_id is not null and v is not null")
     rows = index.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter("id is not null and v is not null")
-    blocks = max(1, -(-wanted.count() // QUERY_BLOCK))
+    blocks = max(1, -(-wanted.count() * dim // QUERY_VALUES))
     found = None
     for b in range(blocks):
         block = wanted.filter(F.pmod(F.xxhash64(F.col("query_id").cast("string")), F.lit(blocks)) == b).toArrow().combine_chunks()
-        at, matrix = _matrix(block.column("v").combine_chunks() if block.num_rows else pa.array([], pa.list_(pa.float64())), dim)
+        at, matrix = vector_matrix(block.column("v").combine_chunks() if block.num_rows else pa.array([], pa.list_(pa.float64())), dim)
         shared = spark.sparkContext.broadcast((block.column("query_id").take(pa.array(at)).to_pylist(), matrix))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names, q = shared.value
-            square = np.einsum("ij,ij->i", q, q)
+            square, names_at = np.einsum("ij,ij->i", q, q), np.array(names)
+            best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            kind_of, asked = None, None
             for batch in batches:
-                rows_at, x = _matrix(batch.column("v"), dim)
+                kind_of, asked = batch.schema.field("id").type, pa.array(names).type if query_kind != kind else batch.schema.field("id").type
+                rows_at, x = vector_matrix(batch.column("v"), dim)
                 ids = np.array(batch.column("id").take(pa.array(rows_at)).to_pylist())
                 order = np.argsort(ids, kind="stable")
                 ids, x = ids[order], x[order]
-                if not len(x) or not len(q):
+                if not len(x):
                     continue
                 own = np.einsum("ij,ij->i", x, x)
-                out: list[list] = [[], [], []]
                 for i in range(0, len(q), 256):
-                    part = q[i : i + 256]
-                    s = part @ x.T
+                    s = q[i : i + 256] @ x.T
                     if metric == "cosine":
                         length = np.sqrt(square[i : i + 256])[:, None] * np.sqrt(own)
                         s = np.where(length == 0, 0.0, s / np.where(length == 0, 1.0, length))
@@ -82,14 +84,23 @@ def batch_top_k(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, met
                         s = -np.maximum(square[i : i + 256][:, None] + own - 2 * s, 0)
                     s = np.round(s, 6)
                     if skip_self:
-                        s[np.array(names[i : i + 256])[:, None] == ids] = -np.inf
+                        s[names_at[i : i + 256, None] == ids] = -np.inf
                     top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                    value = np.take_along_axis(s, top, axis=1)
-                    r, c = np.nonzero(value > -np.inf)
-                    out[0].extend(names[i + j] for j in r.tolist())
-                    out[1].extend(ids[top[r, c]].tolist())
-                    out[2].extend(value[r, c].tolist())
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field("id").type if query_kind == kind else None), pa.array(out[1], batch.schema.field("id").type), pa.array(out[2], pa.float64())], ["query_id", "id", "score"])
+                    value, name = np.take_along_axis(s, top, axis=1), ids[top]
+                    if i in best:
+                        value, name = np.concatenate([best[i][0], value], axis=1), np.concatenate([best[i][1], name], axis=1)
+                        top = np.argsort(name, axis=1, kind="stable")
+                        top = np.take_along_axis(top, np.argsort(-np.take_along_axis(value, top, axis=1), axis=1, kind="stable"), axis=1)[:, :k]
+                        value, name = np.take_along_axis(value, top, axis=1), np.take_along_axis(name, top, axis=1)
+                    best[i] = value, name
+            out: list[list] = [[], [], []]
+            for i, (value, name) in best.items():
+                r, c = np.nonzero(value > -np.inf)
+                out[0].extend(names[i + j] for j in r.tolist())
+                out[1].extend(name[r, c].tolist())
+                out[2].extend(value[r, c].tolist())
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], asked), pa.array(out[1], kind_of), pa.array(out[2], pa.float64())], ["query_id", "id", "score"])
 
         part = rows.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)
@@ -97,6 +108,14 @@ def batch_top_k(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, met
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
+def hydrated(hits: DataFrame, table: DataFrame, on: str, *columns: str, hit_col: str = "id") -> DataFrame:
+    """``hits`` with the ``columns`` of the rows of ``table`` they lead to: by an id, or by position if ``on`` is ``row_index``.
+
+    A hit that leads nowhere stays with nulls, one that leads to several rows comes once for each.  Columns that hits have too get ``_row``."""
+    rows = table.select(F.col(on).alias("_on"), *[F.col(c).alias(f"{c}_row" if c in hits.columns else c) for c in columns])
+    return hits.join(rows, hits[hit_col] == rows["_on"], "left").drop("_on")
+
+
 def upserted(current: DataFrame, changes: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """``current`` with ``changes``: for each key the row of the highest ``order_col``, of equal ones a changed row.
 
@@ -158,7 +177,7 @@ def in_cells(rows: DataFrame, centres: np.ndarray, most: int, id_col: str = "id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, x = _matrix(batch.column("v"), dim)
+            at, x = vector_matrix(batch.column("v"), dim)
             for i in range(0, len(at), 1024):
                 cells = np.argsort(-(x[i : i + 1024] @ shared.value.T), axis=1, kind="stable")[:, :most]
                 take = pa.array(np.repeat(at[i : i + 1024], cells.shape[1]))

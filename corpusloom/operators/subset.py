@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.vectors import normalised, squared_distance
-from corpusloom.operators.search import batch_top_k
+from corpusloom.functions.vectors import normalised
+from corpusloom.operators.search import vector_matrix
 
-#: Centres are broadcast up to this many values, beyond it they are searched in blocks.
-BROADCAST_VALUES = 4_000_000
+#: Values of the centres in a block (32 MB).
+BLOCK_VALUES = 4_000_000
 
 
 def label_centres(rows: DataFrame, label_col: str = "label", vector_col: str = "embedding") -> DataFrame:
@@ -22,19 +27,39 @@ def label_centres(rows: DataFrame, label_col: str = "label", vector_col: str = "
 def assigned(rows: DataFrame, centres: DataFrame, dim: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, cid, distance): the nearest centre of each vector by squared distance (6 decimals), of equals the smaller cid.
 
-    Null vectors and those of another length are left out; no centres, no rows."""
-    k = centres.count()
-    if k == 0:
-        return rows.select(id_col, F.lit(None).cast("bigint").alias("cid"), F.lit(None).cast("double").alias("distance")).limit(0)
-    as_rows = centres.select(F.col("cid").cast("bigint").alias("cid"), F.col("centre").alias("v"))
-    if k * dim > BROADCAST_VALUES:
-        found = batch_top_k(as_rows, rows.withColumnRenamed(vector_col, "v"), dim, 1, "euclidean", "cid", "v", id_col)
-        return found.select(F.col("query_id").alias(id_col), F.col("id").alias("cid"), (-F.col("score")).alias("distance"))
-    # Bounded by BROADCAST_VALUES, checked above.
-    table = F.broadcast(as_rows.agg(F.array_sort(F.collect_list(F.struct("cid", "v"))).alias("centres")))
-    near = F.transform("centres", lambda c: F.struct(F.round(squared_distance(F.col(vector_col), c["v"]), 6).alias("distance"), c["cid"].alias("cid")))
-    best = F.array_min(F.filter(near, lambda x: x["distance"].isNotNull()))
-    return rows.join(table).select(id_col, best.alias("b")).filter("b is not null").select(id_col, "b.cid", "b.distance")
+    Rows stay where they are: centres come to them in broadcast blocks of at most BLOCK_VALUES values, and each block's step
+    keeps the better of its nearest centre and the one found so far, so nothing is shuffled however many centres there are.
+    Null vectors, those of another length and those with a null or NaN element are left out; no centres, no rows."""
+    spark = rows.sparkSession
+    kind = dict(rows.dtypes)[id_col]
+    n = centres.count()
+    found = rows.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.lit(None).cast("bigint").alias("cid"), F.lit(None).cast("double").alias("distance")).filter("v is not null")
+    blocks = -(-n * dim // BLOCK_VALUES)
+    for b in range(blocks):
+        block = centres.select(F.col("cid").cast("bigint").alias("cid"), F.col("centre").cast("array<double>").alias("v")).filter(F.pmod(F.xxhash64("cid"), F.lit(blocks)) == b).orderBy("cid").toArrow().combine_chunks()
+        at, c = vector_matrix(block.column("v").combine_chunks() if block.num_rows else pa.array([], pa.list_(pa.float64())), dim)
+        shared = spark.sparkContext.broadcast((np.asarray(block.column("cid"))[at], c))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            names, c = shared.value
+            square = np.einsum("ij,ij->i", c, c)
+            for batch in batches:
+                at, x = vector_matrix(batch.column("v"), dim)
+                take = pa.array(at)
+                cid = np.asarray(pc.fill_null(batch.column("cid"), np.iinfo(np.int64).max).take(take)).copy()
+                best = np.asarray(pc.fill_null(batch.column("distance"), np.inf).take(take)).copy()
+                for i in range(0, len(x) if len(c) else 0, 1024):
+                    part = x[i : i + 1024]
+                    d = np.round(np.maximum(np.einsum("ij,ij->i", part, part)[:, None] + square - 2 * part @ c.T, 0), 6)
+                    near = d.argmin(axis=1)
+                    far, name = d[np.arange(len(part)), near], names[near]
+                    old_far, old = best[i : i + 1024], cid[i : i + 1024]
+                    better = (far < old_far) | ((far == old_far) & (name < old))
+                    best[i : i + 1024], cid[i : i + 1024] = np.where(better, far, old_far), np.where(better, name, old)
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("v").take(take), pa.array(cid), pa.array(best)], ["id", "v", "cid", "distance"])
+
+        found = found.mapInArrow(run, f"id {kind}, v array<double>, cid bigint, distance double")
+    return found.filter("distance is not null and distance < double('inf')").select(F.col("id").alias(id_col), "cid", "distance")
 
 
 def medoids(assignment: DataFrame, id_col: str = "vec_id") -> DataFrame:

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from corpusloom.functions import vectors as V
 from corpusloom.operators.embedding import embedded
 from corpusloom.operators.filters import filtered
-from corpusloom.operators.search import batch_top_k, cell_centres, enough_probes, fetched, index_stats, ivf_batch_top_k, top_k, upserted
+from corpusloom.functions.text import not_blank, preview
+from corpusloom.operators.profiling import index_rows, sample_exact
+from corpusloom.operators.search import batch_top_k, cell_centres, enough_probes, fetched, hydrated, index_stats, ivf_batch_top_k, top_k, upserted
 from corpusloom.operators.subset import assigned, kmeans_subset, label_centres, medoids, members
 from corpusloom.plans.tables import table
+from corpusloom.operators.validation import alignment
+from corpusloom.session import written
+from corpusloom.sources.files import read_rows, zipped
 from corpusloom.streaming.index import windowed_counts
 
 DIM = 64
@@ -116,6 +121,28 @@ def search_pruned(spark: SparkSession, folder: str) -> DataFrame:
     return ivf_batch_top_k(rows, queries, centres, enough_probes(rows, centres), 10, skip_self=True)
 
 
+def hits_with_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest of every id divisible by 20, each with the text that stands at its position in the documents."""
+    hits = batch_top_k(_index(spark, folder), _index(spark, folder).filter("id % 20 = 0"), DIM, 5, skip_self=True)
+    rows = index_rows(table(spark, folder, "documents")).withColumn("snippet", preview(F.col("text")))
+    return hydrated(hits, rows, "row_index", "doc_id", "snippet")
+
+
+def zip_by_position(spark: SparkSession, folder: str) -> DataFrame:
+    """Document i beside vector i, as far as both go."""
+    left = read_rows(spark, f"{folder}/documents.parquet", "doc_id", "source")
+    right = read_rows(spark, f"{folder}/embeddings.parquet", "vec_id", "label")
+    return zipped(left, right, strict=False)
+
+
+def recomputed_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts embedded and stored; a sample of 100 embedded again and held against what was stored."""
+    texts = table(spark, folder, "documents").filter(not_blank(F.col("text")))
+    stored = written(embedded(texts, id_col="doc_id", text_col="text"), "stored")
+    again = embedded(sample_exact(texts, 100, "doc_id"), id_col="doc_id", text_col="text")
+    return alignment(stored, again)
+
+
 def hourly_events(spark: SparkSession, folder: str) -> DataFrame:
     return windowed_counts(table(spark, folder, "events"))
 
@@ -175,5 +202,18 @@ QUERIES = {
     "distinct_units": (distinct_units, "select distinct birimadi, lang from documents"),
     "embed_documents": (embed_documents, None),
     "search_pruned": (search_pruned, None),
+    "hits_with_rows": (
+        hits_with_rows,
+        f"""with hits as ({_batch_sql("cosine")}), placed as (select row_number() over () - 1 as pos, doc_id, case when length(text) > 200 then substring(text, 1, 200) || '...' else text end as snippet from documents)
+            select query_id, rank, id, score, doc_id, snippet from hits left join placed on pos = id""",
+    ),
+    "zip_by_position": (
+        zip_by_position,
+        """select * from (select row_number() over () - 1 as row_index, doc_id, source from documents) join (select row_number() over () - 1 as row_index, vec_id, label from embeddings) using (row_index)""",
+    ),
+    "recomputed_vectors": (
+        recomputed_vectors,
+        r"""select least(100, count(*)) as n, 1.0::double as least, 1.0::double as mean, 'PASS' as status from documents where regexp_replace(text, '[\s\p{Z}\x{200B}]', '', 'g') <> ''""",
+    ),
     "hourly_events": (hourly_events, "select time_bucket(interval '1 hour', ts) as start, event_type, count(*) as n, round(avg(value), 6) as mean_value from events group by 1, 2"),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -33,25 +34,46 @@ def local_session(app: str = "corpusloom", cores: int | str = "*", **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, one machine) a temporary one is set.
-    """
+    Only on one machine a temporary one stands in where none is named; on a cluster that raises ValueError, since executors
+    share no local folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     known = spark.sparkContext.getCheckpointDir()
     if known:
         return known
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's file system of ``path``, and the path for it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: its lineage is cut there,
-    later stages reread it instead of computing it again, and a lost executor loses nothing."""
+    later stages reread it instead of computing it again, and a lost executor loses nothing.
+
+    The table is removed when the application ends, or before by ``discarded``."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    files, at = file_system(spark, path)
+    files.deleteOnExit(at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discarded(df: DataFrame) -> None:
+    """Removes a table of ``written`` that nothing will read any more."""
+    files, at = file_system(df.sparkSession, df._written_to)
+    files.delete(at, True)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.session import file_system
+
 
 def read_rows(spark: SparkSession, path: str, *columns: str, start: int = 0, end: int | None = None) -> DataFrame:
     """Rows [start, end) of each Parquet file by position, with ``row_index``; nothing if out of range."""
@@ -46,26 +47,45 @@ def write_duplicates(df: DataFrame, id_col: str, path: str) -> None:
     df.orderBy(F.col(id_col).asc_nulls_last()).write.option("header", True).csv(path)
 
 
-def read_matrix(spark: SparkSession, path: str, dim: int, rows_per_part: int = 65_536) -> DataFrame:
-    """(row_index, embedding) of a headerless half-precision matrix file with ``dim`` columns.
+def read_matrix(spark: SparkSession, path: str, dim: int) -> DataFrame:
+    """(row_index, embedding) of a headerless half-precision matrix file with ``dim`` columns, on any file system Spark reads.
 
-    Tasks read byte ranges of the file, so it never has to fit in one of them.  A size that is no multiple of a row raises ValueError."""
-    size = os.path.getsize(path)
-    if size % (2 * dim):
+    Tasks read ranges of whole rows, so the file never has to fit in one of them.  A size that is no multiple of a row raises ValueError."""
+    files, at = file_system(spark, path)
+    if files.getFileStatus(at).getLen() % (2 * dim):
         raise ValueError(f"{path} holds no whole number of rows of {dim} half-precision numbers")
-    n = size // (2 * dim)
+    # Fixed-length records are the one format of Spark for raw bytes; it has no DataFrame reader.
+    records = spark.sparkContext.binaryRecords(path, 2 * dim).zipWithIndex()
+    raw = spark.createDataFrame(records, "value binary, row_index bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in batch.column("id").to_pylist():
-                count = min(rows_per_part, n - start * rows_per_part)
-                x = np.fromfile(path, np.float16, count * dim, offset=2 * dim * start * rows_per_part).astype(np.float32)
-                offsets = pa.array(np.arange(0, count * dim + 1, dim), pa.int32())
-                at = np.arange(start * rows_per_part, start * rows_per_part + count)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.ListArray.from_arrays(offsets, pa.array(x))], ["row_index", "embedding"])
+            x = np.frombuffer(b"".join(batch.column("value").to_pylist()), np.float16).astype(np.float32)
+            offsets = pa.array(np.arange(0, len(x) + 1, dim), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("row_index"), pa.ListArray.from_arrays(offsets, pa.array(x))], ["row_index", "embedding"])
+
+    return raw.mapInArrow(run, "row_index bigint, embedding array<float>")
+
 
-    parts = -(-n // rows_per_part)
-    return spark.range(0, parts, 1, max(1, parts)).mapInArrow(run, "row_index bigint, embedding array<float>")
+def zipped(left: DataFrame, right: DataFrame, on: str = "row_index", strict: bool = True) -> DataFrame:
+    """Rows of two tables side by side by their position: row i of one with row i of the other.
+
+    Both have the position in ``on``, each once (see ``read_rows`` and ``read_matrix``).  With ``strict``, tables of different
+    lengths raise ValueError; else what has no partner is left out.  Names that both have get ``_right`` on the right side."""
+    if strict:
+        a, b = left.count(), right.count()
+        if a != b:
+            raise ValueError(f"{a} rows on the left, {b} on the right")
+    other = right.select(on, *[F.col(f"`{c}`").alias(f"{c}_right" if c in left.columns else c) for c in right.columns if c != on])
+    return left.join(other, on)
+
+
+def file_statistics(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n_rows, n_columns, columns) of each Parquet file under ``path``, which may be a pattern; no column's data is read."""
+    df = spark.read.parquet(path)
+    kinds = ", ".join(f"{c} {kind}" for c, kind in df.dtypes)
+    counted = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n_rows"))
+    return counted.select("file", "n_rows", F.lit(len(df.columns)).alias("n_columns"), F.lit(kinds).alias("columns"))
 
 
 def shard_of(path: Column) -> Column:
@@ -79,29 +99,42 @@ def shard_order(shard: Column) -> Column:
     return F.coalesce(F.regexp_extract(shard, r"^docs_(\d+(?:\.\d+)?)m_", 1).try_cast("double"), F.lit(0.0))
 
 
-def find_files(root: str, pattern: str = r"\.parquet$") -> list[str]:
-    """Paths under ``root`` that match, each once, sorted; nothing if there is no such folder."""
-    found = {os.path.join(d, f) for d, _, files in os.walk(root) for f in files if re.search(pattern, f)}
+def find_files(spark: SparkSession, root: str, pattern: str = r"\.parquet$") -> list[str]:
+    """Paths of files under ``root`` that match, each once, sorted; nothing if there is no such folder."""
+    files, at = file_system(spark, root)
+    if not files.exists(at):
+        return []
+    found, listed = set(), files.listFiles(at, True)
+    while listed.hasNext():
+        path = listed.next().getPath().toString()
+        if re.search(pattern, path):
+            found.add(path)
     return sorted(found)
 
 
-def shard_files(root: str, first: str, last: str) -> dict[str, str]:
+def shard_files(spark: SparkSession, root: str, first: str, last: str) -> dict[str, str]:
     """Chunks, vectors and description of a shard; FileNotFoundError names what is missing."""
     label = f"{first}_{last}"
-    folder = os.path.join(root, f"docs_{label}")
+    folder = f"{root.rstrip('/')}/docs_{label}"
     names = {"chunks": f"chunks_{label}.parquet", "embeddings": f"embeddings_{label}.fp16.npy", "meta": f"meta_{label}.json"}
-    paths = {k: os.path.join(folder, v) for k, v in names.items()}
-    missing = [k for k, p in paths.items() if not os.path.exists(p)]
+    paths = {k: f"{folder}/{v}" for k, v in names.items()}
+    missing = [k for k, p in paths.items() if not _exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"{folder}: no {', '.join(missing)}")
     return paths
 
 
-def resolve_shard(root: str, first: str, last: str | None = None) -> str:
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, at = file_system(spark, path)
+    return files.exists(at)
+
+
+def resolve_shard(spark: SparkSession, root: str, first: str, last: str | None = None) -> str:
     """The folder of a shard: the exact name, else the first by name that begins at ``first``."""
-    if last and os.path.isdir(os.path.join(root, f"docs_{first}_{last}")):
-        return os.path.join(root, f"docs_{first}_{last}")
-    begun = sorted(d for d in os.listdir(root) if d.startswith(f"docs_{first}_"))
+    if last and _exists(spark, f"{root.rstrip('/')}/docs_{first}_{last}"):
+        return f"{root.rstrip('/')}/docs_{first}_{last}"
+    files, at = file_system(spark, root)
+    begun = sorted(x.getPath().toString() for x in files.listStatus(at) if x.isDirectory() and x.getPath().getName().startswith(f"docs_{first}_"))
     if not begun:
         raise FileNotFoundError(f"{root}: no shard that begins at {first}")
-    return os.path.join(root, begun[0])
+    return begun[0]

@@ -148,3 +148,23 @@ def test_sql_functions(spark):
     assert "vector_cosine" in register_functions(spark)
     row = spark.sql("select vector_dot(array(3, 4), array(4, 3)), vector_norm(array(3, 4)), vector_cosine(array(3, 4), array(4, 3)), vector_cosine(array(0, 0), array(1, 1)), vector_distance(array(1, 2), array(2, 4)), window_count(1000, 512, 64), window_count(0, 4, 1)").first()
     assert [round(x, 9) for x in row] == [24.0, 5.0, 0.96, 0.0, 5.0, 3, 0]
+
+
+def test_blocks_agree(spark, monkeypatch):
+    from corpusloom.operators import search, subset
+
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(300)], "id long, values array<float>").repartition(3)
+    whole = sorted(map(tuple, batch_top_k(rows, rows, 4, 5, skip_self=True).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        monkeypatch.setattr(search, "QUERY_VALUES", 40)
+        assert sorted(map(tuple, batch_top_k(rows, rows.limit(300), 4, 5, skip_self=True).collect())) == whole
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    centres = rows.filter("id < 40").selectExpr("id as cid", "values as centre")
+    near = sorted(map(tuple, assigned(rows, centres, 4, "id", "values").collect()))
+    monkeypatch.setattr(subset, "BLOCK_VALUES", 30)
+    assert sorted(map(tuple, assigned(rows, centres, 4, "id", "values").collect())) == near and len(near) == 300
+    x = {r.id: np.array(r["values"]) for r in rows.collect()}
+    assert all((c, d) == min((j, float(round(((x[i] - x[j]) ** 2).sum(), 6))) for j in range(40) if round(((x[i] - x[j]) ** 2).sum(), 6) == min(round(((x[i] - x[m]) ** 2).sum(), 6) for m in range(40))) for i, c, d in near)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from corpusloom.operators.embedding import HashingEmbedder, embedded, mean_pool, query_vector, unit_rows
 from corpusloom.operators.enrichment import enriched, missing_documents, vector_records
 from corpusloom.operators.profiling import duplicate_rows, duplicate_samples, id_uniqueness, length_statistics, sample_exact, value_counts
+from corpusloom.operators.skew import hot_keys, repeat_rows, split_rows
 from corpusloom.operators.validation import alignment, corpus_status, pair_status, single_dimension, status_counts
 from corpusloom.sources import files
-from corpusloom.streaming.index import latest_index, upsert_stream, windowed_counts
+from corpusloom.streaming.index import compact, latest_index, upsert_stream, windowed_counts
 
 
 @pytest.mark.parametrize(("ids", "unique", "dup_rows", "top"), [([1, 2], True, 0, []), ([1, 1, 2], False, 2, [(1, 2)]), ([1, None], False, 0, []), ([None, None, 3], False, 2, [])])
@@ -22,6 +23,23 @@ def test_uniqueness(spark, ids, unique, dup_rows, top):
     assert duplicate_samples(df, "id").count() == sum(n for _, n in top)
 
 
+def test_hot_ids(spark):
+    rows = [(1, i, "x") for i in range(400)] + [(2, i, "x") for i in range(200)] + [(3 + i, 0, "y") for i in range(300)] + [(900 + i // 2, i, "z") for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, part int, `count` string")
+    got = sorted(map(tuple, duplicate_rows(df, "id", rows_per_part=30).collect()))
+    assert got == sorted(r for r in rows if r[0] < 3 or r[0] >= 900)
+
+
+def test_hot_keys(spark):
+    # One key with half of all rows and 200 that are equally frequent: no part has over 50 rows by much.
+    keys = spark.range(20_000).select(F.when(F.col("id") < 10_000, F.lit(-1)).otherwise(F.col("id") % 200).alias("key"), "id")
+    hot = hot_keys(keys.groupBy("key").count(), "key", 20_000, 50)
+    sizes = split_rows(keys, hot, "key", "id").groupBy("key", "part").count()
+    assert sizes.agg(F.max("count")).first()[0] < 100 and sizes.filter("key = -1").count() == 200
+    right = repeat_rows(keys.select("key").distinct(), hot, "key")
+    assert split_rows(keys, hot, "key", "id").join(right, ["key", "part"]).count() == 20_000
+
+
 @pytest.mark.parametrize(("values", "p50", "p90"), [([], 0.0, 0.0), ([7], 7.0, 7.0), ([1, 2, 3, 4], 2.5, 3.7), ([None, 5], 5.0, 5.0)])
 def test_percentiles(spark, values, p50, p90):
     row = length_statistics(spark.createDataFrame([(v,) for v in values], "v int"), "v").first()
@@ -96,7 +114,7 @@ def test_sources(spark, tmp_path):
     assert sorted(r.content for r in files.read_json_lines(spark, str(tmp_path / "out")).collect()) == ["", "ğ"]
     x = np.arange(600, dtype=np.float16).reshape(150, 4)
     x.tofile(tmp_path / "m.npy")
-    rows = files.read_matrix(spark, str(tmp_path / "m.npy"), 4, rows_per_part=64).orderBy("row_index").collect()
+    rows = files.read_matrix(spark, str(tmp_path / "m.npy"), 4).orderBy("row_index").collect()
     assert [r.row_index for r in rows] == list(range(150)) and np.array_equal([r.embedding for r in rows], x)
     with pytest.raises(ValueError):
         files.read_matrix(spark, str(tmp_path / "m.npy"), 7)
@@ -106,15 +124,23 @@ def test_sources(spark, tmp_path):
     meta = files.read_sidecar(spark, str(folder / "meta_0m_1m.json")).first()
     assert (meta.dim, meta.normalized, meta.n_vectors, meta.shard) == (4, True, None, "docs_0m_1m")
     with pytest.raises(FileNotFoundError, match="chunks, embeddings"):
-        files.shard_files(str(tmp_path), "0m", "1m")
-    assert files.resolve_shard(str(tmp_path), "0m").endswith("docs_0m_1m") and files.resolve_shard(str(tmp_path), "0m", "1m").endswith("docs_0m_1m")
+        files.shard_files(spark, str(tmp_path), "0m", "1m")
+    assert files.resolve_shard(spark, str(tmp_path), "0m").endswith("docs_0m_1m") and files.resolve_shard(spark, str(tmp_path), "0m", "1m").endswith("docs_0m_1m")
     with pytest.raises(FileNotFoundError):
-        files.resolve_shard(str(tmp_path), "3m")
+        files.resolve_shard(spark, str(tmp_path), "3m")
     names = spark.createDataFrame([(n,) for n in ("docs_10m_11m", "docs_2m_3m", "docs_0m_1m", "docs_x_y")], "s string")
     assert [r.s for r in names.orderBy(files.shard_order(F.col("s")), "s").collect()] == ["docs_0m_1m", "docs_x_y", "docs_2m_3m", "docs_10m_11m"]
     spark.range(20).coalesce(1).write.parquet(str(tmp_path / "p"))
     assert [r.id for r in files.read_rows(spark, str(tmp_path / "p"), "id", start=5, end=7).collect()] == [5, 6]
-    assert files.read_rows(spark, str(tmp_path / "p"), start=90).count() == 0 and len(files.find_files(str(tmp_path))) >= 1 and files.find_files(str(tmp_path / "none")) == []
+    assert files.read_rows(spark, str(tmp_path / "p"), start=90).count() == 0 and len(files.find_files(spark, str(tmp_path))) >= 1 and files.find_files(spark, str(tmp_path / "none")) == []
+    chunks = spark.createDataFrame([(i, f"c{i}", 0.0) for i in range(150)], "row_index long, id string, embedding double")
+    both = files.zipped(chunks, files.read_matrix(spark, str(tmp_path / "m.npy"), 4)).orderBy("row_index").collect()
+    assert [r.id for r in both] == [f"c{i}" for i in range(150)] and np.array_equal([r.embedding_right for r in both], x)
+    with pytest.raises(ValueError, match="149 rows"):
+        files.zipped(chunks.limit(149), files.read_matrix(spark, str(tmp_path / "m.npy"), 4))
+    assert files.zipped(chunks.limit(0), files.read_matrix(spark, str(tmp_path / "m.npy"), 4), strict=False).count() == 0
+    seen = files.file_statistics(spark, str(tmp_path / "p")).collect()
+    assert [(r.n_rows, r.n_columns, r.columns) for r in seen] == [(20, 1, "id bigint")] and seen[0].file.endswith(".parquet")
     files.write_duplicates(spark.createDataFrame([(2, "x"), (None, "y"), (1, "z")], "id int, n string"), "id", str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 3
 
@@ -126,7 +152,13 @@ def test_stream(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
         upsert_stream(stream, str(tmp_path / "index"), str(tmp_path / "cp")).awaitTermination()
-    got = {(r.namespace, r.id, r.v) for r in latest_index(spark, str(tmp_path / "index")).collect()}
-    assert got == {("n", 1, "b"), ("n", 2, "a"), ("m", 1, "c")} and latest_index(spark, str(tmp_path / "none")) is None
+    want = {("n", 1, "b"), ("n", 2, "a"), ("m", 1, "c")}
+    seen = lambda: {(r.namespace, r.id, r.v) for r in latest_index(spark, str(tmp_path / "index")).collect()}
+    assert seen() == want and latest_index(spark, str(tmp_path / "none")) is None
+    compact(spark, str(tmp_path / "index"))
+    assert seen() == want and [p.name for p in (tmp_path / "index").iterdir()] == ["m=1"]
+    spark.createDataFrame([("m", 1, 5, "d")], schema).coalesce(1).write.mode("append").parquet(source)
+    upsert_stream(spark.readStream.schema(schema).parquet(source), str(tmp_path / "index"), str(tmp_path / "cp")).awaitTermination()
+    assert seen() == {("n", 1, "b"), ("n", 2, "a"), ("m", 1, "d")}
     events = spark.createDataFrame([(datetime(2024, 1, 1, 1, 5), "x", 1.0), (datetime(2024, 1, 1, 1, 50), "x", 3.0)], "ts timestamp, event_type string, value double")
     assert [(r.n, r.mean_value) for r in windowed_counts(events).collect()] == [(2, 2.0)]
