@@ -10,7 +10,7 @@ from corpusloom.llm.mixture import mixture, source_name
 from corpusloom.llm.neighbours import most_similar, similar_pairs
 from corpusloom.llm.packing import fill_report, packed
 from corpusloom.llm.records import record_classes, record_counts
-from corpusloom.llm.residue import find_residue, residue_on_unseen_hosts
+from corpusloom.llm.residue import find_residue, residue_on_unseen_hosts, residue_on_unseen_kinds
 from corpusloom.llm.subset import varied_subsets
 from corpusloom.llm.tokens import token_counts
 from corpusloom.plans.tables import table
@@ -97,6 +97,10 @@ def p8_unseen_hosts(spark: SparkSession, folder: str) -> DataFrame:
     return residue_on_unseen_hosts(table(spark, folder, "documents"), "doc_id", "text", source_name(F.col("source")))
 
 
+def p8_unseen_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    return residue_on_unseen_kinds(table(spark, folder, "documents"), "doc_id", "text")
+
+
 _SIMILAR = """
 with usable as (
   select id, any_value(embedding::double[]) as v from chunk_embeddings
@@ -136,4 +140,5 @@ QUERIES = {
     "p7_shares": (p7_shares, None),
     "p8_found": (p8_found, None),
     "p8_unseen_hosts": (p8_unseen_hosts, None),
+    "p8_unseen_kinds": (p8_unseen_kinds, None),
 }

@@ -2,158 +2,174 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
-#: Hashed features, and the most documents whose parts the classifier is trained on.
-FEATURES, TRAINED_ON = 1 << 18, 20_000
-
-# Words by which a text tells that it quotes or discusses what stands before them.
-MENTIONED = (
-    "iletisi", "kutusu", "uyarısı", "yazısı", "yazan", "ibaresi", "biçiminde", "biçimindeki", "bölümünün", "değerinin", "çıktısı",
-    "olarak kullanılan", "metninin bırakılması", "numaralı bent", "ile yazılan",
-)
-
-# How a sentence tells of such things without quotation marks.
-TOLD = (r"ekranda .{0,60}(?:yazdığını|yazısı|belir)", r"ile yazılan", r"metninin bırakılması", r"ibaresi", r"iletisi", r"uyarısı", r"sayılmıştır", r"bildirmiştir", r"açıklamıştır", r"savunmuştur", r"itiraz edilmiştir", r"istenmiştir")
-
-# Weak labels.  Positions that still show a field, an empty value, a request or a blank.
-UNFILLED = (
-    r"\{\{.{1,60}?\}\}", r"[$#@]\{[^{}\n]{1,60}\}", r"\{[\p{L}_][^{}\n:\"]{0,60}\}", r"\{\d\}", r"\{%.{1,60}?%\}",
-    r"<%.{1,60}?%>", r"<<[^<>\n]{1,60}>>", r"<[\p{L}_][\p{L}\d_ .-]{0,60}>", r"«[^»\n]{1,40}»",
-    r"\[\[[^\[\]\n]{1,60}\]\]", r"\[(?!\s*(?:değişik|ek|mülga|iptal|amended|repealed))[\p{L}_][^\[\]\n]{0,60}\]", r"\[\s*\.\.\.[^\[\]\n]{1,60}\]",
-    r"@@[^@\n]{1,60}@@", r"##[^#\n]{1,60}##", r"__\p{L}[\p{L}\d_ -]{0,60}__", r"/\*[^*\n]{1,60}\*/",
-    r"\|\p{L}[\p{L}\d_ -]{0,40}\|", r"%\p{L}[\p{L}\d_ -]{0,40}%", r"\$\p{L}[\p{L}\d_ -]{0,40}\$", r"\$\d\b",
-    r"\((?:lütfen|buraya)\b[^()\n]{1,60}\)", r"\([^()\n]{1,60}(?:doldurulacak(?:tır)?|yazılacak(?:tır)?|eklenecek(?:tir)?|girilecek(?:tir)?|buraya|giriniz|seçiniz|belirtin|yazınız)\)",
-    r"(?<![\p{L}\d\"'])(?:undefined|null|nan|nil|none|\(null\)|invalid date|\[object object\]|%[sd])(?![\p{L}\d\"'=:])", r"#(?:n/a|ref!|yok|değer!|ad\?|value!|name\?)",
-    r"_{3,}", r"(?:_ ){3,}", r"\(\s{2,}\)", r"\[\s{2,}\]", r"\?{4,}", r"#{4,}", r"(?<!\p{L})x{4,}(?!\p{L})", r"xx\.xx\.", r"gg\.aa\.y", r"dd\.mm\.y", r"yyyy/n", r"__/__", r"-{5,}", r"\.{6,}", r"…{3,}",
-)
-# Weak labels.  Errors, notices and filler in their usual words, without accents.
-PHRASES = (
-    r"\bhttp (?:status )?[45]\d\d\b", r"\b(?:error|hata|fehler) [45]\d\d\b", r"\([45]\d\d\)", r"\bora-\d{4,5}", r"traceback \(most recent", r"\b(?:fatal|server) error\b", r"exception\b", r"\w+error:", r"sqlstate", r"stack trace", r"^\s*at [\w.$]+\(", r"^ *file \".*, line \d", r"^\s+\w+ = \w+\[",
-    r"<error>", r"\"status\"\s*:\s*\"error\"", r"accessdenied", r"sunucu hatasi[.!]?$", r"sunucuya baglanilamadi", r"zaman asimina ugradi", r"beklenmedik bir sorun", r"bir hata olustu", r"kayit yok$", r"bulunamadi", r"ulasilamadi", r"yuklenemedi", r"baglanti (?:kesildi|koptu)", r"yetkiniz yok", r"erisim engellendi[.!]?$", r"yetki dogrulanamadi",
-    r"oturum(?:unuz| sureniz) (?:sona erdi|doldu)", r"yanit suresi doldu", r"gecit yanit vermiyor", r"bad gateway", r"gateway timeout", r"unauthorized", r"hizmet gecici olarak", r"bakim calismasi yapiliyor", r"daha sonra yeniden deneyin", r"try again later", r"spater erneut", r"giris yapmaniz gerekiyor", r"cok fazla sorgu", r"sorgu siniriniz",
-    r"contact the administrator", r"sistem yoneticisine", r"sayfayi yenileyin", r"ana sayfaya donun", r"geri donmek icin", r"(?:could|can) ?not be (?:loaded|displayed|retrieved|processed)", r"failed to be", r"requested resource", r"(?:erisime kapatilmis|yayindan kaldirilmis|tasinmis|silinmis) (?:gorunuyor|olabilir)", r"islem kimligi", r"hata kodu", r"istek no:", r"referans: [0-9a-f]{4,}", r"denetleyip tekrar",
-    r"javascript", r"java script", r"\bjs\b", r"\bscripts?\b", r"scripting", r"active content", r"betik", r"komut dosyalari", r"cerezleri etkinlestirip", r"enable cookies", r"etkin icerik", r"etkin icerige", r"tarayicini", r"your browser", r"checking your", r"robot olmadiginizi", r"guvenlik denetimi", r"dogrulama kodunu", r"nasil etkinlestirilir", r"loading, please wait", r"^yukleniyor", r"bu pencereyi kapat", r"^oops!", r"^uyari!",
-    r"^\s*warning: ", r"\bon line \d", r"\b[45]\d\d (?:service|not found|bad|internal|forbidden|gateway)", r"too many (?:requests|connections)", r"\bnot found\b", r"islem(?:iniz)? yapilamadi", r"sorun yasandi",
-    r"lorem ipsum", r"(?:\b(?:lorem|ipsum|dolor|amet|congue|fugiat|laboris|quidem|nostrum|morbi|tempora|nulla|minima|erat|dictum)\b.*){3}", r"\b(\p{L}+)(?: \1){2,}", r"asdf|qwer|zxcv|asdasd|sdfsdf|fghfgh", r"(?:deneme|ornek|taslak|gecici) (?:metin|metni|yazisi|icerik|paragraf|ozet|baslik|gerekce|hukum|aciklama)", r"bir ornek metin", r"yer tutucu", r"yer ayrilmistir",
-    r"(?:buraya|bu alana|bu bolume|kutuya|satira) .{0,40}(?:girilecek|yazilacak|eklenecek|gelecek|yerlestirilecek)", r"metin daha sonra eklenecek", r"burada gorunecektir", r"icerigi yakinda", r"bos birakilmistir", r"sonra degistirilecek", r"yayimlanmayacak|yayimlamayiniz",
-)
-
-
-def _plain(pattern: str) -> str:
-    return pattern.translate(str.maketrans("ıçğşöüâîû", "icgsouaiu"))
-
-
-def folded(text: Column) -> Column:
-    """Small letters without the accents of Turkish, so texts written without them read the same."""
-    return F.translate(F.lower(F.translate(text, "İI", "ii")), "ıçğşöüâîûä\u0307\u0306\u0327\u0308\u0302", "icgsouaiua")
-
-
-def parts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, at, n, part): the sentences and lines of each text, in order, in small letters.
-
-    What stands in quotation marks before a word that mentions it becomes one sign."""
-    # Much work for each row: a table of few files is spread over all cores.
+from corpusloom.functions.casts import stripped
+from corpusloom.llm.shapes import FEATURES, Parts, parts_of, pieces
+
+#: The most documents whose parts the classifier is trained on, of how many of them one is taken whole, and the score from which a part is faulty (see ``residue_on_unseen_kinds``).
+TRAINED_ON, CLEAN, THRESHOLD = 20_000, 4, 0.5
+
+# Weak labels by kind.  Signs of positions that were never filled in, and usual words of filler, errors and notices, in
+# small letters without marks.  They are used in training only.
+KINDS = {
+    "braces": (r"\{\{[^{}\n]{1,60}\}\}", r"[$#@%]\{[^{}\n]{1,60}\}", r"\{[a-z_][^{}\n:\"]{0,60}\}", r"\{\d\}", r"\{%[^%\n]{1,60}%\}"),
+    "angles": (r"<%[^%\n]{1,60}%>", r"<<[^<>\n]{1,60}>>", r"<[a-z_][a-z\d_ .-]{0,60}>", r"\x01[^\x02\n]{1,60}\x02"),
+    "brackets": (r"\[\[[^\[\]\n]{1,60}\]\]", r"\[(?!\s*(?:degisik|ek|mulga|iptal|amended|repealed|sic)\b)[a-z_][^\[\]\n]{0,60}\]", r"\[\s*\.\.\.[^\[\]\n]{1,60}\]"),
+    "pairs": (r"@@[^@\n]{1,60}@@", r"##[^#\n]{1,60}##", r"__[a-z][a-z\d_ -]{0,60}__", r"/\*[^*\n]{1,60}\*/", r"\|[a-z][a-z\d_ -]{0,40}\|", r"%[a-z][a-z\d_ -]{0,40}%", r"\$[a-z][a-z\d_ -]{0,40}\$", r"\$\d\b"),
+    "requests": (r"\([^()\n]{0,60}(?:buraya|lutfen)[^()\n]{0,60}\)", r"\([^()\n]{1,60}(?:doldurulacak|yazilacak|eklenecek|girilecek|giriniz|seciniz|belirtin|yaziniz)[a-z]*\)"),
+    "empty values": (r"\b(?:undefined|null|nan|nil|invalid date)\b(?![\"'=:])", r"\[object object\]", r"(?<!\S)%[sd]\b", r"(?<=\s)none(?=[\s.,])", r"#(?:n/a|ref!|yok|deger!|ad\?|value!|name\?)"),
+    "blanks": (r"_{3,}", r"(?:_ ){3,}", r"\(\s{2,}\)", r"\[\s{2,}\]", r"\?{4,}", r"#{4,}", r"(?<![a-z])x{4,}(?![a-z])", r"\bxx\.xx\.", r"\b(?:gg\.aa|dd\.mm)\.", r"yyyy/n", r"__/__", r"-{5,}", r"\.{6,}"),
+    "status": (r"\b(?:http|status|error|hata|fehler)\W{0,3}(?:status |kodu:? )?[45]\d\d\b", r"\b[45]\d\d\W{1,3}(?:not found|bad|internal|forbidden|service|gateway|unauthorized|too many)", r"\b(?:bad gateway|gateway timeout|unauthorized|service unavailable|access ?denied)\b"),
+    "program errors": (r"exception\b", r"\b[a-z]+error:", r"\b(?:fatal|server|internal) error\b", r"traceback", r"stack trace", r"\bora-\d{4,5}", r"sqlstate", r"^\s*at [\w.$]+\(", r"^\s*warning: ", r"\bon line \d"),
+    "failures": (r"(?:sunucu|sistem|veritabani) hatasi", r"zaman asimina ugradi", r"hata olustu", r"bulunamadi", r"ulasilamadi", r"yuklenemedi", r"baglanti (?:kesildi|koptu)", r"yetkiniz yok", r"erisim engellendi", r"oturum\w* (?:sona erdi|doldu|\w+ doldu)", r"(?:yeniden|tekrar) deneyin", r"try again", r"\b(?:could|can) ?not be \w+ed\b", r"failed to be", r"\bnot found\b", r"giris yapmaniz", r"cok fazla (?:sorgu|istek)", r"beklenmedik bir (?:sorun|hata)", r"hata kodu: ?\w", r"(?:silinmis|tasinmis|kaldirilmis|kapatilmis) (?:olabilir|gorunuyor)", r"gecici olarak (?:kapali|hizmet)", r"yanit (?:suresi doldu|vermiyor)"),
+    "scripts": (r"java ?script", r"\bscripts?\b", r"scripting", r"active content", r"betik", r"komut dosyalari", r"\bjs\b", r"cerezleri etkinlestir(?:in|ip)", r"enable cookies", r"icerige izin ver", r"etkin icerik", r"tarayicini", r"your browser", r"robot olmadiginizi"),
+    "filler": (r"lorem ipsum", r"(?:\b(?:lorem|ipsum|dolor|amet)\b.*){2}", r"\b([a-z]+)(?: \1){2,}", r"asdf|qwer|zxcv|asdasd|sdfsdf", r"(?:deneme|ornek|taslak|gecici) (?:metin|metni|yazisi|icerik|paragraf)", r"(?:buraya|bu alana|bu bolume|satira) .{0,40}(?:girilecek|yazilacak|eklenecek|gelecek|yerlestirilecek)", r"daha sonra eklenecek", r"yer tutucu"),
+}
+# What follows a mentioned sign or phrase, and how a sentence tells of one.
+MENTIONED = r"^[^.;\n]{0,12}\b(?:ibaresi|iletisi|uyarisi|yazisi|kutusu|bolumu|degeri|ciktisi|numarali|biciminde)"
+TOLD = r"(?:mis|mus)tir|\b(?:ibaresi|iletisi|uyarisi|yazisi|uyarinca)\b|yazdigini|belirdigini|yazisinin|ibaresinin"
+UNFILLED = ("braces", "angles", "brackets", "pairs", "requests", "empty values", "blanks")
+QUOTED = r"\"[^\"\n]{1,200}\""
+
+
+@cache
+def _rules(left_out: tuple[str, ...]) -> tuple[list[re.Pattern], list[re.Pattern]]:
+    """Patterns of unfilled positions and of phrases, of all kinds but those left out."""
+
+    def of(names: Sequence[str]) -> list[re.Pattern]:
+        chosen = [p for n in names if n not in left_out for p in KINDS[n]]
+        # A back reference counts groups over the whole pattern, so its pattern stays alone.
+        alone = [p for p in chosen if "\\1" in p]
+        joined = "|".join(f"(?:{p})" for p in chosen if p not in alone)
+        return [re.compile(p.encode()) for p in [joined, *alone] if p]
+
+    return of(UNFILLED), of([n for n in KINDS if n not in UNFILLED])
+
+
+_MENTIONED, _TOLD, _QUOTED = (re.compile(p.encode()) for p in (MENTIONED, TOLD, QUOTED))
+
+
+def weak_label(part: bytes, left_out: tuple[str, ...] = ()) -> bool:
+    """Whether a folded part shows one of the signs, outside of quotation marks and not as something the sentence tells of."""
+    unfilled, phrases = _rules(left_out)
+    bare = _QUOTED.sub(b' "" ', part)
+    if any(not _MENTIONED.search(bare[m.end() : m.end() + 40]) for p in unfilled for m in p.finditer(bare)):
+        return True
+    return any(p.search(bare) for p in phrases) and not _TOLD.search(bare)
+
+
+def _shows_sign(part: bytes) -> bool:
+    return any(p.search(part) for rules in _rules(()) for p in rules)
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Much work for each row: a table of few files is spread over all cores."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    rows = rows.select(id_col, text_col)
-    rows = rows.repartition(cores, id_col) if rows.rdd.getNumPartitions() < cores else rows
-    cues = "|".join(w.replace("ı", "[ıi]") for w in MENTIONED)
-    text = F.col(text_col)
-    for opening, closing in (('"', '"'), ("“", "”"), ("«", "»"), ("(?<=[\\s(])'", "'"), ("<<", ">>"), ("\\{", "\\}")):
-        text = F.regexp_replace(text, f"(?iu){opening}[^\\n]{{1,200}}?{closing}(?=,?\\s+(?:ve\\s+\\S+\\s+)?(?:{cues}))", "¤")
-    low = folded(F.regexp_replace(text, r"\b\p{Ll}+(?:\p{Lu}\p{Ll}+)+\b", "$0 ¬"))
-    pieces = F.split(low, r"\n+|(?<=[.!?;])\s+(?=\S)")
-    kept = F.filter(pieces, lambda x: F.trim(x) != "")
-    # The outer form, since for the inner one the pieces are computed once more to filter the texts without any.
-    found = rows.select(F.col(id_col).alias("doc"), kept.alias("pieces"))
-    return found.select("doc", F.size("pieces").alias("n"), F.posexplode_outer("pieces").alias("at", "part")).filter("part is not null")
-
-
-def weak_label(part: Column) -> Column:
-    """1 where a pattern of UNFILLED or PHRASES is found, else 0."""
-    unfilled = "(?u)" + "|".join(f"(?:{_plain(p)})" for p in UNFILLED)
-    # Groups are numbered over the whole pattern, so the one with a back reference is asked alone.
-    repeated = [p for p in PHRASES if "\\1" in p]
-    phrases = "(?u)" + "|".join(f"(?:{_plain(p)})" for p in PHRASES if p not in repeated)
-    found = part.rlike(phrases)
-    for p in repeated:
-        found = found | part.rlike("(?u)" + p)
-    told = "(?u)" + "|".join(_plain(p) for p in TOLD)
-    return (part.rlike(unfilled) | (found & ~part.rlike(told))).cast("double")
-
-
-def featured(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with ``features``: hashed words, signs and numbers in ones, twos and threes, shapes of three and four, the length of the
-    part and of its text, and its words once more if it is the title (the first part)."""
-    text = F.regexp_replace("part", r"(?<![\d.,/])[45]\d\d(?![\d.,/])", " §status ")
-    text = F.regexp_replace(text, r"\d+(?:[.,/:]\d+)*", "9")
-    text = F.regexp_replace(text, r"([^\p{L}\d\s])\1{2,}", "$1$1$1")
-    token = F.regexp_extract_all(text, F.lit(r"§?\p{L}+|9|([^\p{L}\d\s])\1*| {3,}"), 0)
-    tokens = F.concat(F.array(F.lit("^")), token, F.array(F.lit("$")))
-    out = pieces.withColumn("_t", tokens)
-    size = F.size("_t")
-
-    def run(k: int, of: str = "_t") -> Column:
-        last = size - k
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.concat_ws(" ", *[F.get(of, i + j) for j in range(k)]))).otherwise(F.array().cast("array<string>"))
-
-    extra = F.array(
-        F.concat(F.lit("tokens:"), F.least(F.floor(F.log2(size)), F.lit(7)).cast("string")),
-        F.concat(F.lit("parts:"), F.least(F.floor(F.log2(F.col("n"))), F.lit(6)).cast("string")),
-        F.when(F.col("at") == 0, "title").otherwise("inner"),
-    )
-    title = F.when(F.col("at") == 0, F.transform("_t", lambda x: F.concat(F.lit("title:"), x))).otherwise(F.array().cast("array<string>"))
-    # Every word alike, for the shapes that signs make around words.
-    out = out.withColumn("_s", F.transform("_t", lambda x: F.when(x.rlike(r"^\p{L}"), "W").otherwise(x)))
-    words = out.withColumn("_w", F.concat("_t", run(2), run(3), run(3, "_s"), run(4, "_s"), extra, title)).drop("_t", "_s")
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="_w", outputCol="features").transform(words).drop("_w")
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def _texts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return rows.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).filter(stripped(F.col("text")) != "")
 
 
 @dataclass(frozen=True)
 class ResidueModel:
-    classifier: LogisticRegressionModel
+    """Weights of the features, the bias, and the score from which a part is faulty."""
+
+    weights: np.ndarray
+    bias: float
     threshold: float
-    sure: float
 
-    def scored(self, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        """(doc, at, part, score) for each part of each text."""
-        scored = self.classifier.transform(featured(parts(rows, id_col, text_col)))
-        return scored.select("doc", "at", "part", _second("probability").alias("score"))
+    def part_scores(self, parts: Parts) -> np.ndarray:
+        total = np.bincount(parts.owner, self.weights[parts.index], minlength=len(parts.text)) + self.bias
+        return 1 / (1 + np.exp(-total))
+
+    def scored(self, rows: DataFrame, id_col: str, text_col: str, left_out: tuple[str, ...] | None = None) -> DataFrame:
+        """(doc, score): the score of each text's worst part, without a shuffle.  With ``left_out`` also ``weak`` and ``held``: whether a
+        part has a weak label of any kind, and whether one has a label of a kind that is left out."""
+        texts = _spread(_texts(rows, id_col, text_col))
+        model = rows.sparkSession.sparkContext.broadcast(self)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                worst, weak, held = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool)
+                for i, data, offsets in pieces(batch.column("text")):
+                    parts = parts_of(data, offsets)
+                    np.maximum.at(worst, i + parts.text, model.value.part_scores(parts))
+                    if left_out is not None:
+                        labels = np.array([[weak_label(parts.folded[a:b]), weak_label(parts.folded[a:b], left_out)] for a, b in zip(parts.start, parts.end)], bool).reshape(-1, 2)
+                        weak[i + parts.text[labels[:, 0]]] = True
+                        held[i + parts.text[labels[:, 0] & ~labels[:, 1]]] = True
+                columns = [batch.column("doc"), pa.array(worst)] + [pa.array(weak), pa.array(held)] * (left_out is not None)
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "score", "weak", "held"][: len(columns)])
+
+        kind = dict(texts.dtypes)["doc"]
+        return texts.mapInArrow(run, f"doc {kind}, score double" + (", weak boolean, held boolean" if left_out is not None else ""))
 
     def faulty(self, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        """(doc, score) of the texts with a part whose score is ``sure``, or reaches ``threshold`` and
-        shows a sign of the weak labels' kinds on a second look."""
-        # No filter on the score: it would be computed again for the filter.
-        sign = (F.col("score") >= self.sure) | ((F.col("score") >= self.threshold) & (weak_label(F.col("part")) == 1))
-        worst = self.scored(rows, id_col, text_col).groupBy("doc").agg(F.max(F.when(sign, F.col("score"))).alias("score"))
-        return worst.filter("score is not null")
+        """(doc, score) of the texts with a part whose score reaches ``threshold``, each id once."""
+        return self.scored(rows, id_col, text_col).filter(F.col("score") >= self.threshold).groupBy("doc").agg(F.max("score").alias("score"))
 
 
-def _second(vector: str) -> Column:
-    return F.get(vector_to_array(vector), F.lit(1))
+def _vectors(parts: Parts, chosen: np.ndarray) -> pa.Array:
+    """The features of the chosen parts as Spark's sparse vectors, counted."""
+    number = np.full(len(parts.text), -1)
+    number[chosen] = np.arange(len(chosen))
+    owner = number[parts.owner]
+    key, times = np.unique(owner[owner >= 0] * FEATURES + parts.index[owner >= 0], return_counts=True)
+    at = pa.array(np.searchsorted(key, np.arange(len(chosen) + 1) * FEATURES), pa.int32())
+    fields = [pa.array(np.zeros(len(chosen)), pa.int8()), pa.array(np.full(len(chosen), FEATURES), pa.int32())]
+    fields += [pa.ListArray.from_arrays(at, pa.array(key % FEATURES, pa.int32())), pa.ListArray.from_arrays(at, pa.array(times.astype(np.float64)))]
+    return pa.StructArray.from_arrays(fields, ["type", "size", "indices", "values"])
 
 
-def train_residue(rows: DataFrame, id_col: str, text_col: str, trained_on: int = TRAINED_ON, threshold: float = 0.005, sure: float = 0.9) -> ResidueModel | None:
+def train_residue(rows: DataFrame, id_col: str, text_col: str, trained_on: int = TRAINED_ON, threshold: float = THRESHOLD, left_out: tuple[str, ...] = ()) -> ResidueModel | None:
     """A regularised logistic classifier of parts, from weak labels.
 
-    Trained on the parts of at most about ``trained_on`` documents, chosen by the hash of their id: with all their parts.  None where the sample has no part of one of the kinds.
+    Trained on at most about ``trained_on`` documents, chosen by the hash of their id: on all parts of one in CLEAN of them, and of the
+    others on those that show a sign, be it labelled or told of.  Parts that only a kind in ``left_out`` would label are not
+    trained on at all.  None where the sample has no part of one of the two classes.
     """
-    step = max(1, rows.count() // trained_on)
-    sample = rows.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(step)) == 0)
-    labelled = parts(sample, id_col, text_col).withColumn("label", weak_label(F.col("part")))
-    learner = LogisticRegression(weightCol="weight", maxIter=60, regParam=5e-6, elasticNetParam=0.0, standardization=False, aggregationDepth=2)
-    data = featured(labelled).select("label", "features", (1 + 9 * F.col("label")).alias("weight")).persist()
+    texts = _texts(rows, id_col, text_col)
+    step = max(1, -(-texts.count() // trained_on))
+    draw = F.pmod(F.xxhash64(F.col("doc").cast("string"), F.lit("residue")), F.lit(step * CLEAN))
+    sample = _spread(texts.withColumn("draw", draw).filter(F.col("draw") % step == 0).select("text", (F.col("draw") == 0).alias("whole")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = np.asarray(batch.column("whole"))
+            for i, data, offsets in pieces(batch.column("text")):
+                parts = parts_of(data, offsets)
+                if not len(parts.text):
+                    continue
+                each = [parts.folded[a:b] for a, b in zip(parts.start, parts.end)]
+                label = np.array([weak_label(x, left_out) for x in each])
+                chosen = label | whole[i + parts.text] | np.array([_shows_sign(x) for x in each])
+                if left_out:
+                    chosen &= label | ~np.array([weak_label(x) for x in each])
+                chosen = np.flatnonzero(chosen)
+                yield pa.RecordBatch.from_arrays([pa.array(label[chosen].astype(np.float64)), pa.array(1 + 9.0 * label[chosen]), _vectors(parts, chosen)], ["label", "weight", "features"])
+
+    schema = StructType().add("label", DoubleType()).add("weight", DoubleType()).add("features", VectorUDT())
+    data = sample.mapInArrow(run, schema).persist()
+    learner = LogisticRegression(weightCol="weight", maxIter=30, regParam=5e-6, elasticNetParam=0.0, standardization=False, aggregationDepth=2)
     try:
-        kinds = {r[0] for r in data.select("label").distinct().collect()}
-        if len(kinds) < 2:
+        if len(data.select("label").distinct().collect()) < 2:
             return None
-        return ResidueModel(learner.fit(data), threshold, sure)
+        fitted = learner.fit(data)
+        return ResidueModel(fitted.coefficients.toArray().astype(np.float32), float(fitted.intercept), threshold)
     finally:
         data.unpersist()
 
@@ -162,8 +178,8 @@ def find_residue(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, score): texts in which somewhere a position was never filled in, or filler, an error message
     or a notice that scripts or another browser are needed stands in place of content.
 
-    The weak labels teach a linear classifier of sentences and lines, which decides; see ``train_residue``.
-    Null and blank texts are no case, very long ones are read to their end, equal texts get equal scores.
+    Weak labels teach a linear classifier of sentences and lines, which alone decides; see ``train_residue``.
+    Null and blank texts are no case, very long ones are read to their end, equal texts get equal scores, an id comes once.
     Where the table has no weak label at all, or nothing else, the result is empty.
     """
     model = train_residue(rows, id_col, text_col)
@@ -172,6 +188,15 @@ def find_residue(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return model.faulty(rows, id_col, text_col)
 
 
+_REPORT = "n_docs bigint, n_weak bigint, n_found bigint, n_both bigint, precision double, recall double"
+
+
+def _report(scored: DataFrame, threshold: float, *groups: str) -> DataFrame:
+    found = F.col("score") >= threshold
+    out = scored.groupBy(*groups).agg(F.count("*").alias("n_docs"), F.count_if("weak").alias("n_weak"), F.count_if(found).alias("n_found"), F.count_if(F.col("weak") & found).alias("n_both"))
+    return out.withColumn("precision", F.round(F.try_divide("n_both", "n_found"), 6)).withColumn("recall", F.round(F.try_divide("n_both", "n_weak"), 6))
+
+
 def residue_on_unseen_hosts(rows: DataFrame, id_col: str, text_col: str, host: Column, folds: int = 5) -> DataFrame:
     """One row: n_docs, n_weak, n_found, n_both, precision and recall against the weak labels, on the documents of
     one in ``folds`` hosts (by the hash of their name; no host is a host too), by a classifier that was trained on the others.
@@ -180,9 +205,31 @@ def residue_on_unseen_hosts(rows: DataFrame, id_col: str, text_col: str, host: C
     held = F.pmod(F.xxhash64(F.coalesce(host, F.lit(""))), F.lit(folds)) == 0
     model = train_residue(rows.filter(~held), id_col, text_col)
     if model is None:
-        return rows.sparkSession.createDataFrame([], "n_docs bigint, n_weak bigint, n_found bigint, n_both bigint, precision double, recall double")
-    scored = model.scored(rows.filter(held), id_col, text_col)
-    found = (F.col("score") >= 0.5).cast("double")
-    docs = scored.groupBy("doc").agg(F.max(weak_label(F.col("part"))).alias("weak"), F.max(found).alias("found"))
-    out = docs.agg(F.count("*").alias("n_docs"), F.count_if(F.col("weak") == 1).alias("n_weak"), F.count_if(F.col("found") == 1).alias("n_found"), F.count_if((F.col("weak") == 1) & (F.col("found") == 1)).alias("n_both"))
-    return out.withColumn("precision", F.round(F.try_divide("n_both", "n_found"), 6)).withColumn("recall", F.round(F.try_divide("n_both", "n_weak"), 6))
+        return rows.sparkSession.createDataFrame([], _REPORT)
+    return _report(model.scored(rows.filter(held), id_col, text_col, ()), model.threshold)
+
+
+def residue_on_unseen_kinds(rows: DataFrame, id_col: str, text_col: str, folds: int = 4, thresholds: tuple[float, ...] = (0.1, 0.3, 0.5, 0.7)) -> DataFrame:
+    """(threshold, n_docs, n_weak, n_found, n_both, recall): how many of the documents that only kinds of weak labels show
+    which the classifier never saw it finds, and how many documents without any weak label.
+
+    Kinds are left out in ``folds`` turns, a share of them each; the counts are sums over the turns: ``n_weak`` documents with a left-out
+    kind, ``n_both`` found of these, ``n_docs`` documents without any label and ``n_found`` found of these."""
+    names = sorted(KINDS)
+    scores = []
+    for f in range(folds):
+        left_out = tuple(names[f::folds])
+        model = train_residue(rows, id_col, text_col, left_out=left_out)
+        if model is not None:
+            scores.append(model.scored(rows, id_col, text_col, left_out))
+    if not scores:
+        return rows.sparkSession.createDataFrame([], "threshold double, n_docs bigint, n_weak bigint, n_found bigint, n_both bigint, recall double")
+    whole = scores[0]
+    for part in scores[1:]:
+        whole = whole.unionByName(part)
+    each = whole.select("*", F.explode(F.array(*[F.lit(t) for t in thresholds])).alias("threshold"))
+    found = F.col("score") >= F.col("threshold")
+    out = each.groupBy("threshold").agg(
+        F.count_if(~F.col("weak")).alias("n_docs"), F.count_if("held").alias("n_weak"), F.count_if(~F.col("weak") & found).alias("n_found"), F.count_if(F.col("held") & found).alias("n_both")
+    )
+    return out.withColumn("recall", F.round(F.try_divide("n_both", "n_weak"), 6))

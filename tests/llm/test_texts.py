@@ -2,13 +2,16 @@ import random
 import re
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm.mixture import mixture, source_name
 from corpusloom.llm.packing import BestFit, fill_report, packed
 from corpusloom.llm.records import record_classes, record_counts
-from corpusloom.llm.residue import find_residue, parts, train_residue, weak_label
+from corpusloom.llm.residue import find_residue, residue_on_unseen_kinds, train_residue, weak_label
+from corpusloom.llm.shapes import parts_of, pieces
 from corpusloom.llm.tokens import VOCABULARY, count, encoder, slices, token_counts
 
 LABELS, BODY = ("birim", "esas no"), "metin"
@@ -146,10 +149,30 @@ FAULTY = [
 ]
 
 
-def test_weak_labels(spark):
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(SOUND + FAULTY)], "doc_id int, text string")
-    labelled = parts(df, "doc_id", "text").groupBy("doc").agg(F.max(weak_label(F.col("part"))).alias("w"))
-    assert {r.doc: r.w for r in labelled.collect()} == {i: float(i >= len(SOUND)) for i in range(len(SOUND + FAULTY))}
+def in_parts(texts):
+    out = [[] for _ in texts]
+    for i, data, offsets in pieces(pa.array(texts, pa.string())):
+        p = parts_of(data, offsets)
+        for t, a, b in zip(p.text, p.start, p.end):
+            out[i + t].append(p.folded[a:b].strip())
+        assert len(p.index) == len(p.owner) and (len(p.owner) == 0 or p.owner.max() == len(p.text) - 1)
+    return out
+
+
+def test_weak_labels():
+    found = [any(map(weak_label, p)) for p in in_parts(SOUND + FAULTY)]
+    assert found == [False] * len(SOUND) + [True] * len(FAULTY)
+    assert not weak_label(b"karar {{tarih}} gunu", ("braces",)) and weak_label(b"karar {{tarih}} gunu", ("angles",))
+
+
+def test_parts():
+    got = in_parts(['Sayın "Ali Bey. Evet" geldi. Ayşe\'nin IŞIĞI iyi!\n\nİkinci: “a. b” 3.5 …', None, "", " \n", "tek \" işaret. son", "a" * 10])
+    assert got == [[b'sayin "ali bey. evet" geldi.', b"ayse'nin isigi iyi!", b'ikinci: "a. b" 3.5 ...'], [], [], [], [b'tek " isaret.', b"son"], [b"a" * 10]]
+    # The same words give the same features, wherever they stand and in whatever letters.
+    one, two = (parts_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])) for t in ("Önce. Işık ÇOK iyi.", "Uzun bir cümle önce. isik cok iyi."))
+    assert set(one.index[one.owner == 1]) == set(two.index[two.owner == 1])
+    long = ["x. " * 1_000_000, "kısa"]
+    assert [len(p) for p in in_parts(long)] == [1_000_000, 1]
 
 
 def test_residue(spark):
@@ -167,6 +190,8 @@ def test_residue(spark):
     unseen = [(i, f"Karar {w} tarihinde tebliğ edilmiştir.") for i, w in enumerate(["[tebliğ günü giriniz]", "12.03.2014", "{{gun}}", "5.6.2001"])]
     model = train_residue(df, "doc_id", "text")
     assert {r.doc for r in model.faulty(spark.createDataFrame(unseen, "doc_id int, text string"), "doc_id", "text").collect()} == {0, 2}
+    unseen_kinds = residue_on_unseen_kinds(df, "doc_id", "text").collect()
+    assert len(unseen_kinds) == 4 and all(r.n_weak > 0 and r.n_both <= r.n_weak for r in unseen_kinds)
     assert find_residue(df.limit(0), "doc_id", "text").count() == 0
     assert find_residue(df.filter("doc_id = 1"), "doc_id", "text").count() == 0
 
