@@ -8,17 +8,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from corpusloom.functions.casts import stripped
-from corpusloom.llm.tokens import VOCABULARY, token_counts
-from corpusloom.session import written
+from corpusloom.llm.shapes import pieces, sparse_vectors, words_of
+from corpusloom.llm.tokens import VOCABULARY, count
+from corpusloom.operators.skew import hot_keys, repeat_rows, split_rows
+from corpusloom.session import discarded, written
 
-#: Hashed features of the classifier, and the most labelled documents it is trained on.
-FEATURES, TRAINED_ON = 1 << 13, 20_000
+#: Hashed features of the classifier, the most labelled documents it is trained on, and the parts of 1 to which memberships are rounded.
+FEATURES, TRAINED_ON, GRID = 1 << 13, 20_000, 64
 
 
 def source_name(col: Column) -> Column:
@@ -30,42 +32,58 @@ def source_name(col: Column) -> Column:
 @dataclass(frozen=True)
 class Mixture:
     """chosen: (doc_id, source, repeats, n_tokens) of the documents used, each with the source it counts for.
-    shares: (source, target_share, reached_share, expected_share, n_docs, n_tokens) for every source."""
+    shares: (source, target_share, reached_share, expected_share, n_docs, n_tokens, converged) for every source.
+    rounds: the gradient steps taken.  residual: the largest distance of a source's expected tokens from its goal, as a share of all.
+    converged: whether that is within the tolerance."""
 
     chosen: DataFrame
     shares: DataFrame
+    rounds: int
+    residual: float
+    converged: bool
 
 
-def _posteriors(rows: DataFrame, names: list[str], n_rows: int) -> DataFrame:
-    """``rows`` (id, text, source, ...) without the text, with ``posterior``: the probabilities of ``names`` by a classifier trained on
-    at most about TRAINED_ON labelled documents, chosen by the hash of their id."""
-    word = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{2,}"), 0)
-    tf = HashingTF(numFeatures=FEATURES, binary=True, inputCol="words", outputCol="features")
-    featured = tf.transform(rows.withColumn("words", word)).drop("words", "text")
-    label = F.array_position(F.lit(names), F.col("source")) - 1
-    step = max(1, n_rows // TRAINED_ON)
-    sample = featured.filter(F.col("source").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(step)) == 0)).withColumn("label", label.cast("double")).filter("label >= 0")
-    present = [int(r[0]) for r in sample.select("label").distinct().collect()]
-    if len(present) < 2:
-        even = F.array(*[F.lit(1.0 if not present or i in present else 0.0) for i in range(len(names))])
-        return featured.drop("features").withColumn("posterior", even)
-    model = LogisticRegression(family="multinomial", maxIter=25, regParam=0.01).fit(sample.select("label", "features"))
-    known = model.numClasses
-    posterior = F.concat(vector_to_array("probability"), F.array_repeat(F.lit(0.0), len(names) - known))
-    return model.transform(featured).withColumn("posterior", posterior).drop("features", "probability", "rawPrediction", "prediction")
-
-
-def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", trust: float = 0.99, total_tokens: int | None = None, rounds: int = 40, path: str = VOCABULARY) -> Mixture:
+def _classifier(rows: DataFrame, names: list[str], n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (features, names) and biases of a multinomial classifier of the label's number, trained on at most about
+    TRAINED_ON of ``rows`` (id, text, label), chosen by the hash of their id.  With fewer than two labels it knows nothing but these."""
+    step = max(1, -(-n_rows // TRAINED_ON))
+    sample = rows.filter((F.col("label") >= 0) & (F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("mixture")), F.lit(step)) == 0)).select("text", "label")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label = np.asarray(batch.column("label")).astype(np.float64)
+            for i, data, offsets in pieces(batch.column("text")):
+                n = len(offsets) - 1
+                yield pa.RecordBatch.from_arrays([pa.array(label[i : i + n]), sparse_vectors(*words_of(data, offsets, FEATURES), n, FEATURES)], ["label", "features"])
+
+    data = sample.mapInArrow(run, StructType().add("label", DoubleType()).add("features", VectorUDT())).persist()
+    try:
+        present = [int(r[0]) for r in data.select("label").distinct().collect()]
+        weights, bias = np.zeros((FEATURES, len(names)), np.float32), np.full(len(names), -50.0)
+        bias[present] = 0
+        if len(present) > 1:
+            model = LogisticRegression(family="multinomial", maxIter=25, regParam=0.01).fit(data)
+            known = model.numClasses
+            weights[:, :known] = model.coefficientMatrix.toArray().T
+            bias[:known] = np.where(np.isin(np.arange(known), present), model.interceptVector.toArray(), -50.0)
+        return weights, bias
+    finally:
+        data.unpersist()
+
+
+def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", trust: float = 0.95, total_tokens: int | None = None, rounds: int = 60, tolerance: float = 1e-3, path: str = VOCABULARY) -> Mixture:
     """A choice of documents with repeats in which each source has its target share of all tokens.
 
     ``targets`` (source, target_share, max_repeats) is a small table by its nature and read on the driver.  Equal texts count
-    as one, under their smallest id.  A classifier trained on labelled documents gives each document a probability for
-    every source; a known source gets ``trust`` of the whole on top of the rest of these.  The rates at which documents are used
+    as one, before anything is computed of them: under the smallest id of those with a target's source, else of those without a source, else of all.
+    A classifier trained on labelled documents gives each document a probability for
+    every source; a document is a member of the sources by these probabilities, and of a known source by ``trust`` of the whole on
+    top of the rest of them.  Memberships are rounded to 1/GRID.  The rates at which documents are used
     solve a least-squares problem, expected tokens per source against target share times total, between
     0 and the ``max_repeats`` of the document's source (1 for a document without a known source), by projected
-    gradient steps: each step is one pass over the documents that sums the expected tokens (one number for each source), and a
-    document's rate follows from the sums of the steps so far.  Rates become whole repeats so that within a partition and source
-    what rounding takes from one document the next one gets.
+    gradient steps.  Documents of equal memberships and limit have equal rates, so they are added up once, and each step is one
+    pass over these sums that carries their rates along.  It ends within ``tolerance`` of the total or after ``rounds`` steps; the result tells
+    which.  Rates become whole repeats so that within a partition and source what rounding takes from one document the next one gets.
 
     ``total_tokens`` is by default the most with which every source that has documents can reach its share.
     Sources without documents reach nothing, and the others' reached shares are larger in proportion.  Documents of sources
@@ -79,76 +97,100 @@ def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_co
     k = len(names)
 
     cores = spark.sparkContext.defaultParallelism
-    n_rows = rows.count()
     texts = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), source_name(F.col(source_col)).alias("source"))
     texts = texts.filter(F.col("id").isNotNull() & (stripped(F.col("text")) != ""))
-    texts = texts.repartition(cores, "id") if rows.rdd.getNumPartitions() < cores else texts
-    texts = texts.withColumn("source", F.when(F.col("source").isNull() | F.col("source").isin(names), F.col("source")).otherwise(names[-1]))
-    sized = token_counts(texts.withColumn("copy", F.sha2("text", 256)).withColumn("body", F.col("text")), "id", "body", "text", "source", "copy", path=path)
-    member = _posteriors(sized, names, n_rows)
-    first = member.groupBy("copy").agg(F.min(F.struct("id", "source", "n_tokens", "posterior")).alias("x")).select("x.*")
-    label = F.array_position(F.lit(names), F.col("source")) - 1
-    member = written(first.withColumn("label", F.coalesce(label, F.lit(-1)).cast("int")).drop("source"), "members")
-
-    caps = np.array(cap + [1.0])
+    known = F.array_position(F.lit(names), F.col("source"))
+    label = F.when(F.col("source").isNull(), -1).when((known > 0) & (known < k), known - 1).otherwise(k - 1).cast("int")
+    texts = texts.select("id", "text", label.alias("label"))
+    weights, bias = _classifier(texts, names, rows.count())
+    # First sources with a target, then none, then others.
+    rank = F.when(F.col("label") < 0, 1).when(F.col("label") < k - 1, 0).otherwise(2)
+    unique = texts.groupBy(F.sha2("text", 256).alias("copy")).agg(F.min(F.struct(rank.alias("rank"), "id", "label")).alias("x"), F.first("text").alias("text")).select("x.id", "x.label", "text")
+    unique = unique.repartition(cores) if rows.rdd.getNumPartitions() < cores else unique
     # Sources without documents get no probability.
     present = np.zeros(k)
-    present[[r[0] for r in member.filter("label >= 0").select("label").distinct().collect()]] = 1
-
-    def memberships(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Memberships, tokens, labels and limits of a batch's documents."""
-        p = batch.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-        label, tokens = np.asarray(batch.column("label")), np.asarray(batch.column("n_tokens")).astype(np.float64)
-        known = label >= 0
-        p = p * present
-        p = p / np.maximum(p.sum(axis=1), 1e-12)[:, None]
-        p = np.where(known[:, None], (1 - trust) * p, p)
-        p[known, label[known]] += trust
-        return p, tokens, label, caps[np.where(known, label, k)]
-
-    def rates(p: np.ndarray, limit: np.ndarray, start: float, steps: list[np.ndarray]) -> np.ndarray:
-        r = np.minimum(np.full(len(p), start), limit)
-        for step in steps:
-            r = np.clip(r - p @ step, 0, limit)
-        return r
-
-    def totals(start: float, steps: list[np.ndarray], squares: bool = False) -> np.ndarray:
-        """Expected tokens per source; with ``squares``: at full use, and the scale of the problem."""
+    present[[r[0] for r in texts.filter("label >= 0").select("label").distinct().collect()]] = 1
+    model = spark.sparkContext.broadcast((weights, bias))
+    caps = np.array(cap + [1.0])
+
+    def membered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, base = model.value
+        for batch in batches:
+            label = np.asarray(batch.column("label"))
+            column = batch.column("text")
+            tokens = [count(t, path) for t in column.to_pylist()]
+            score = np.zeros((batch.num_rows, k))
+            for i, data, offsets in pieces(column):
+                owner, index = words_of(data, offsets, FEATURES)
+                first = np.flatnonzero(np.diff(owner, prepend=-1))
+                if len(first):
+                    score[i + owner[first]] = np.add.reduceat(w[index], first, axis=0)
+            score += base
+            p = np.exp(score - score.max(axis=1, keepdims=True)) * present
+            p /= np.maximum(p.sum(axis=1), 1e-12)[:, None]
+            labelled = label >= 0
+            p[labelled] *= 1 - trust
+            p[labelled, label[labelled]] += trust
+            grid = pa.array(list(np.round(p * GRID).astype(np.int32)), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(caps[np.where(labelled, label, k)]), pa.array(tokens, pa.int64()), grid], ["id", "label", "most", "n_tokens", "grid"])
+
+    kind = dict(texts.dtypes)["id"]
+    member = written(unique.mapInArrow(membered, f"id {kind}, label int, most double, n_tokens bigint, grid array<int>").withColumn("cell", F.xxhash64("grid", "most")), "members")
+
+    def memberships(column: pa.Array) -> np.ndarray:
+        p = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k).astype(np.float64)
+        return p / np.maximum(p.sum(axis=1), 1)[:, None]
+
+    def totals(state: DataFrame, of: str) -> tuple[np.ndarray, np.ndarray]:
+        """Expected tokens per source at the rates in column ``of``, and the scale of the problem."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(2 * k)
             for batch in batches:
-                p, tokens, _, limit = memberships(batch)
-                r = limit if squares else rates(p, limit, start, steps)
-                total[:k] += (r * tokens) @ p
+                p, tokens = memberships(batch.column("grid")), np.asarray(batch.column("n_tokens")).astype(np.float64)
+                total[:k] += (np.asarray(batch.column(of)) * tokens) @ p
                 total[k:] += tokens @ p**2
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * k), pa.int32()), pa.array(total)], ["i", "v"])
 
-        summed = member.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
         out = np.zeros(2 * k)
-        for r in summed:
+        for r in state.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
             out[r.i] = r.v
-        return out
+        return out[:k], np.maximum(out[k:], 1e-9)
+
+    def stepped(state: DataFrame, step: np.ndarray) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rate = np.clip(np.asarray(batch.column("rate")) - memberships(batch.column("grid")) @ step, 0, np.asarray(batch.column("most")))
+                yield pa.RecordBatch.from_arrays([batch.column("grid"), batch.column("most"), batch.column("n_tokens"), pa.array(rate)], ["grid", "most", "n_tokens", "rate"])
+
+        return state.mapInArrow(run, "grid array<int>, most double, n_tokens bigint, rate double")
 
-    full = totals(0.0, [], squares=True)
-    most, scale = full[:k], np.maximum(full[k:], 1e-9)
+    cells = written(member.groupBy("cell", "grid", "most").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("count")), "cells")
+    state = written(cells.select("grid", "most", "n_tokens", F.lit(0.0).alias("rate")), "rates")
+    most, scale = totals(state, "most")
     reachable = (share > 0) & (most > 0) & (present > 0)
     total = float(total_tokens or (min(most[reachable] / share[reachable]) if reachable.any() else 0))
     goal = share * total
-    steps: list[np.ndarray] = []
-    for _ in range(rounds if total > 0 else 0):
-        off = totals(0.0, steps)[:k] - goal
-        if np.abs(off[reachable]).max() <= 1e-4 * total:
+    taken, residual = 0, 1.0
+    while total > 0:
+        off = totals(state, "rate")[0] - goal
+        residual = float(np.abs(off[reachable]).max() / total)
+        if residual <= tolerance or taken >= rounds:
             break
-        steps.append(off / scale)
+        after = written(stepped(state, off / scale), "rates")
+        discarded(state)
+        state, taken = after, taken + 1
 
-    kind = dict(member.dtypes)["id"]
+    # Many documents may have the same memberships.
+    hot = hot_keys(cells.groupBy("cell").agg(F.sum("count").alias("count")), "cell", member.count())
+    rate = repeat_rows(state.select(F.xxhash64("grid", "most").alias("cell"), "grid", "most", "rate"), hot, "cell")
+    rated = split_rows(member, hot, "cell", "id").join(rate, ["cell", "part", "grid", "most"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owed = np.zeros(k + 1)
         for batch in batches:
-            p, tokens, label, limit = memberships(batch)
-            r = rates(p, limit, 0.0, steps)
+            p, tokens, label = memberships(batch.column("grid")), np.asarray(batch.column("n_tokens")).astype(np.float64), np.asarray(batch.column("label"))
+            r, limit = np.asarray(batch.column("rate")), np.asarray(batch.column("most"))
             counted = np.where(label >= 0, label, p[:, :-1].argmax(axis=1) if k > 1 else 0)
             repeats = np.zeros(len(r), np.int64)
             for i, (rate, n, s, most_) in enumerate(zip(r.tolist(), tokens.tolist(), counted.tolist(), limit.tolist())):
@@ -163,7 +205,7 @@ def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_co
                 ["id", "source", "repeats", "n_tokens", "soft"],
             )
 
-    used = written(member.mapInArrow(whole, f"id {kind}, source string, repeats bigint, n_tokens bigint, soft array<double>").filter("repeats > 0"), "used")
+    used = written(rated.mapInArrow(whole, f"id {kind}, source string, repeats bigint, n_tokens bigint, soft array<double>").filter("repeats > 0"), "used")
     chosen = used.select(F.col("id").alias(id_col), "source", "repeats", "n_tokens")
     tokens = F.col("repeats") * F.col("n_tokens")
     reached = used.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum(tokens).alias("n_tokens"))
@@ -173,5 +215,6 @@ def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_co
     aims = spark.createDataFrame([(w[0], w[1]) for w in wanted], "source string, target_share double")
     shares = aims.join(reached, "source", "left").join(expected, "source", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
-    shares = shares.select("source", "target_share", F.round(zero(F.col("n_tokens")) / all_tokens, 6).alias("reached_share"), F.round(zero(F.col("expected")) / all_tokens, 6).alias("expected_share"), zero(F.col("n_docs")).alias("n_docs"), zero(F.col("n_tokens")).alias("n_tokens"))
-    return Mixture(chosen, shares)
+    converged = bool(total == 0 or residual <= tolerance)
+    shares = shares.select("source", "target_share", F.round(zero(F.col("n_tokens")) / all_tokens, 6).alias("reached_share"), F.round(zero(F.col("expected")) / all_tokens, 6).alias("expected_share"), zero(F.col("n_docs")).alias("n_docs"), zero(F.col("n_tokens")).alias("n_tokens"), F.lit(converged).alias("converged"))
+    return Mixture(chosen, shares, taken, residual, converged)

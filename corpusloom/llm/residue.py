@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from corpusloom.functions.casts import stripped
-from corpusloom.llm.shapes import FEATURES, Parts, parts_of, pieces
+from corpusloom.llm.shapes import FEATURES, Parts, parts_of, pieces, sparse_vectors
 
 #: The most documents whose parts the classifier is trained on, of how many of them one is taken whole, and the score from which a part is faulty (see ``residue_on_unseen_kinds``).
 TRAINED_ON, CLEAN, THRESHOLD = 20_000, 4, 0.5
@@ -128,11 +128,7 @@ def _vectors(parts: Parts, chosen: np.ndarray) -> pa.Array:
     number = np.full(len(parts.text), -1)
     number[chosen] = np.arange(len(chosen))
     owner = number[parts.owner]
-    key, times = np.unique(owner[owner >= 0] * FEATURES + parts.index[owner >= 0], return_counts=True)
-    at = pa.array(np.searchsorted(key, np.arange(len(chosen) + 1) * FEATURES), pa.int32())
-    fields = [pa.array(np.zeros(len(chosen)), pa.int8()), pa.array(np.full(len(chosen), FEATURES), pa.int32())]
-    fields += [pa.ListArray.from_arrays(at, pa.array(key % FEATURES, pa.int32())), pa.ListArray.from_arrays(at, pa.array(times.astype(np.float64)))]
-    return pa.StructArray.from_arrays(fields, ["type", "size", "indices", "values"])
+    return sparse_vectors(owner[owner >= 0], parts.index[owner >= 0], len(chosen), FEATURES)
 
 
 def train_residue(rows: DataFrame, id_col: str, text_col: str, trained_on: int = TRAINED_ON, threshold: float = THRESHOLD, left_out: tuple[str, ...] = ()) -> ResidueModel | None:

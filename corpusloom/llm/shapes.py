@@ -198,6 +198,35 @@ def parts_of(data: np.ndarray, offsets: np.ndarray) -> Parts:
     return Parts(of_text[some], first[some], np.append(first[1:], n)[some], b.tobytes(), place[owners], index)
 
 
+def words_of(data: np.ndarray, offsets: np.ndarray, features: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) of every distinct word of two letters or more in each text; ``features`` is a power of two."""
+    b, ends, _ = folded(data, offsets)
+    if not len(b):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    letter = CLASS[b] == LETTER
+    edge = np.ones(len(b), bool)
+    edge[1:] = letter[1:] != letter[:-1]
+    edge[ends[:-1][ends[:-1] < len(b)]] = True
+    start = np.flatnonzero(edge)
+    length = np.diff(np.append(start, len(b)))
+    place = np.arange(len(b)) - np.repeat(start, length)
+    code = np.add.reduceat((b.astype(np.uint64) + np.uint64(1)) * _PLACES[place & 63], start)
+    word = letter[start] & (length > 1)
+    owner = np.searchsorted(ends, start[word], side="right") - 1
+    index = ((code[word] * _MIX[13]) >> np.uint64(65 - features.bit_length())).astype(np.int64)
+    key = np.unique(owner * features + index)
+    return key // features, key % features
+
+
+def sparse_vectors(owner: np.ndarray, index: np.ndarray, n: int, features: int) -> pa.Array:
+    """``n`` of Spark's sparse vectors with the counts of each owner's features."""
+    key, times = np.unique(owner * features + index, return_counts=True)
+    at = pa.array(np.searchsorted(key, np.arange(n + 1) * features), pa.int32())
+    fields = [pa.array(np.zeros(n), pa.int8()), pa.array(np.full(n, features), pa.int32())]
+    fields += [pa.ListArray.from_arrays(at, pa.array(key % features, pa.int32())), pa.ListArray.from_arrays(at, pa.array(times.astype(np.float64)))]
+    return pa.StructArray.from_arrays(fields, ["type", "size", "indices", "values"])
+
+
 def pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The texts of a string column by about AT_ONCE bytes: the number of the first text, its bytes and those of the next ones, and their offsets; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")

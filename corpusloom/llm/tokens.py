@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -20,9 +21,12 @@ VOCABULARY = os.environ.get("CORPUSLOOM_TOKENIZER", "/opt/tokenizers/byte_bpe_mu
 # Fixed value: how the byte-level vocabularies cut a text into words before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Texts are encoded in slices of this many characters, cut before a white space, so that very long texts need no long merges.
+#: Longer texts are encoded in slices of about this many characters, so that no long one is held in pieces at once.
 SLICE = 100_000
 
+# Where PATTERN always parts a text, whatever stands around: before one blank between two signs of text, between letters and digits.
+BOUNDARY = regex.compile(r"(?<=[\p{L}\p{N}\p{P}]) (?=[\p{L}\p{N}\p{P}])|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})")
+
 
 @cache
 def encoder(path: str):
@@ -35,17 +39,19 @@ def encoder(path: str):
 
 
 def count(text: str, path: str) -> int:
+    """The number of tokens of the whole text; slices change nothing about it, since they end where words do."""
     return sum(len(encoder(path).encode_ordinary(piece)) for piece in slices(text))
 
 
 def slices(text: str, size: int = SLICE) -> Iterator[str]:
-    """``text`` in slices of at most ``size`` characters, cut before a blank or line break where there is one."""
+    """``text`` in slices of at least ``size`` characters, each up to the next BOUNDARY; a text without one stays whole."""
     at = 0
     while len(text) - at > size:
-        cut = max(text.rfind(" ", at + 1, at + size), text.rfind("\n", at + 1, at + size))
-        cut = cut if cut > at else at + size
-        yield text[at:cut]
-        at = cut
+        cut = BOUNDARY.search(text, at + size)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
     yield text[at:]
 
 

@@ -44,10 +44,17 @@ def test_a_large_group_of_copies(spark):
     assert got == {(0, i) for i in range(600)} | {(1000 + i, 1000 + i) for i in range(600)}
 
 
+@pytest.mark.parametrize(
+    "text", ["Davanın kabulüne karar verilmiştir. " * 9000, "a" * 250_000, "ab1" * 90_000, " " * 250_000 + "son", ("x" + " " * 700) * 400, "it's  '5 \n\n y " * 20_000, "ğ, 12.5'te\t" * 30_000, "١٢ ab　c" * 40_000]
+)
+def test_slices_change_no_count(text):
+    assert "".join(slices(text, 1000)) == text
+    whole = len(encoder(VOCABULARY).encode_ordinary(text))
+    assert count(text, VOCABULARY) == whole and sum(len(encoder(VOCABULARY).encode_ordinary(s)) for s in slices(text, 1000)) == whole
+
+
 def test_tokens(spark):
-    text = "Davanın kabulüne karar verilmiştir. " * 9000
-    assert "".join(slices(text)) == text and count("", VOCABULARY) == 0
-    assert abs(count(text, VOCABULARY) - len(encoder(VOCABULARY).encode_ordinary(text))) <= len(text) // 100_000 * 2
+    assert count("", VOCABULARY) == 0
     df = spark.createDataFrame([(1, "a b", "t"), (2, None, "t"), (3, " \n", "t"), (None, "x", "t"), (4, "<|endoftext|>", "t")], "doc_id int, text string, n_tokens string")
     got = {r.doc_id: r.n_tokens for r in token_counts(df, "doc_id", "text").collect()}
     assert set(got) == {1, 4} and got[1] == 2 and got[4] > 1
@@ -114,6 +121,8 @@ def corpus(spark):
             rows.append((i, f"{' '.join(words)} {i}", source, "x"))
             i += 1
     rows += [(i + j, f"{WORDS['b']} unlabelled {j}", None, "x") for j in range(10)]
+    # Copies count under a source with a target, though the smallest id has none.
+    rows += [(1000, "twice the same text", "D-e", "x"), (1001, "twice the same text", None, "x"), (1002, "twice the same text", "c", "x")]
     rows += [(9000 + j, rows[0][1], "A", "x") for j in range(50)] + [(9900, None, "A", "x"), (9901, " ", "A", "x"), (None, "text", "A", "x")]
     return spark.createDataFrame(rows, "doc_id long, text string, source string, id string")
 
@@ -121,6 +130,11 @@ def corpus(spark):
 def test_mixture(spark):
     targets = spark.createDataFrame([("a", 0.3, 1), ("B", 0.4, 4), ("c", 0.2, 6), ("gone", 0.1, 2), (None, 0.5, 1)], "source string, target_share double, max_repeats int")
     mixed = mixture(corpus(spark), targets)
+    assert mixed.converged and mixed.residual <= 1e-3 and mixed.rounds > 0
+    stopped = mixture(corpus(spark), targets, rounds=1)
+    assert not stopped.converged and stopped.rounds == 1 and not stopped.shares.first().converged
+    soft = {r.source: r for r in mixture(corpus(spark), targets, trust=0.5).shares.collect()}
+    assert all(abs(soft[s].expected_share - t / 0.9) < 0.03 for s, t in (("a", 0.3), ("B".lower(), 0.4), ("c", 0.2)))
     shares = {r.source: r for r in mixed.shares.collect()}
     assert set(shares) == {"a", "b", "c", "gone"} and shares["gone"].n_docs == 0
     for source, share in (("a", 0.3), ("b", 0.4), ("c", 0.2)):
@@ -128,6 +142,7 @@ def test_mixture(spark):
     chosen = mixed.chosen.collect()
     assert len({r.doc_id for r in chosen}) == len(chosen) and all(1 <= r.repeats <= {"a": 1, "b": 4, "c": 6}[r.source] for r in chosen)
     assert not [r for r in chosen if r.doc_id >= 9000] and any(500 <= r.doc_id < 510 and r.source == "b" and r.repeats == 1 for r in chosen)
+    assert not [r for r in chosen if r.doc_id in (1000, 1001)] and [r.source for r in chosen if r.doc_id == 1002] == ["c"]
     assert mixture(corpus(spark).limit(0), targets).chosen.count() == 0
     nothing = mixture(corpus(spark), targets.limit(0))
     assert nothing.chosen.count() == 0 and nothing.shares.count() == 0
