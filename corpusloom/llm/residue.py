@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from corpusloom.functions.casts import stripped
 from corpusloom.llm.shapes import FEATURES, Parts, parts_of, pieces, sparse_vectors
 
 #: The most documents whose parts the classifier is trained on, of how many of them one is taken whole, and the score from which a part is faulty (see ``residue_on_unseen_kinds``).
@@ -81,7 +80,7 @@ def _spread(rows: DataFrame) -> DataFrame:
 
 
 def _texts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return rows.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).filter(stripped(F.col("text")) != "")
+    return rows.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).filter("text is not null")
 
 
 @dataclass(frozen=True)
@@ -135,11 +134,11 @@ def train_residue(rows: DataFrame, id_col: str, text_col: str, trained_on: int =
     """A regularised logistic classifier of parts, from weak labels.
 
     Trained on at most about ``trained_on`` documents, chosen by the hash of their id: on all parts of one in CLEAN of them, and of the
-    others on those that show a sign, be it labelled or told of.  Parts that only a kind in ``left_out`` would label are not
+    others on those that show a sign, be it labelled or told of, which weigh ten times as much.  Parts that only a kind in ``left_out`` would label are not
     trained on at all.  None where the sample has no part of one of the two classes.
     """
     texts = _texts(rows, id_col, text_col)
-    step = max(1, -(-texts.count() // trained_on))
+    step = max(1, -(-rows.count() // trained_on))
     draw = F.pmod(F.xxhash64(F.col("doc").cast("string"), F.lit("residue")), F.lit(step * CLEAN))
     sample = _spread(texts.withColumn("draw", draw).filter(F.col("draw") % step == 0).select("text", (F.col("draw") == 0).alias("whole")))
 
@@ -151,12 +150,13 @@ def train_residue(rows: DataFrame, id_col: str, text_col: str, trained_on: int =
                 if not len(parts.text):
                     continue
                 each = [parts.folded[a:b] for a, b in zip(parts.start, parts.end)]
-                label = np.array([weak_label(x, left_out) for x in each])
-                chosen = label | whole[i + parts.text] | np.array([_shows_sign(x) for x in each])
+                sign = np.array([_shows_sign(x) for x in each])
+                label = np.array([s and weak_label(x, left_out) for s, x in zip(sign, each)])
+                chosen = label | whole[i + parts.text] | sign
                 if left_out:
-                    chosen &= label | ~np.array([weak_label(x) for x in each])
+                    chosen &= label | ~np.array([s and weak_label(x) for s, x in zip(sign, each)])
                 chosen = np.flatnonzero(chosen)
-                yield pa.RecordBatch.from_arrays([pa.array(label[chosen].astype(np.float64)), pa.array(1 + 9.0 * label[chosen]), _vectors(parts, chosen)], ["label", "weight", "features"])
+                yield pa.RecordBatch.from_arrays([pa.array(label[chosen].astype(np.float64)), pa.array(1 + 9.0 * sign[chosen]), _vectors(parts, chosen)], ["label", "weight", "features"])
 
     schema = StructType().add("label", DoubleType()).add("weight", DoubleType()).add("features", VectorUDT())
     data = sample.mapInArrow(run, schema).persist()

@@ -131,6 +131,7 @@ def parts_of(data: np.ndarray, offsets: np.ndarray) -> Parts:
 
     part_start = line_start.copy()
     closing = ((b == 46) | (b == 33) | (b == 63) | (b == 59)) & (after == SPACE) & ~inside
+    closing[1:] &= (b[1:] != 46) | (b[:-1] != 46)
     part_start[1:] |= closing[:-1]
     part, first = np.cumsum(part_start) - 1, np.flatnonzero(part_start)
     of_text = np.searchsorted(ends, first, side="right") - 1
@@ -148,7 +149,6 @@ def parts_of(data: np.ndarray, offsets: np.ndarray) -> Parts:
     number = token == DIGIT
     status = number & (length == 3) & ((sign == 52) | (sign == 53))
     code[number] = _MIX[20]
-    code[status] = _MIX[21]
     run = np.minimum(length, 4).astype(np.uint64)
     signs = token == SIGN
     code[signs] = (sign[signs].astype(np.uint64) * np.uint64(8) + run[signs]) * _MIX[22]
@@ -173,6 +173,13 @@ def parts_of(data: np.ndarray, offsets: np.ndarray) -> Parts:
     runs(code, 3, 3)
     runs(shape, 3, 13)
     runs(shape, 4, 14)
+    # Numbers like those of failed requests, with the words beside them.
+    for beside in (-1, 1):
+        at = np.flatnonzero(status)
+        at = at[(at + beside >= 0) & (at + beside < len(owner))]
+        at = at[owner[at] == owner[at + beside]]
+        out_owner.append(owner[at])
+        out_code.append((code[at + beside] ^ _MIX[21]) * _MIX[15 + (beside > 0)])
     edge = np.ones(len(owner), bool)
     edge[1:] = owner[1:] != owner[:-1]
     last = np.append(edge[1:], True) if len(edge) else edge
