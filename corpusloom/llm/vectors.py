@@ -129,25 +129,97 @@ def two_level_kmeans(sample: np.ndarray, k: int) -> np.ndarray:
 
 
 def without_near_copies(centres: np.ndarray, sample: np.ndarray, alike: float) -> np.ndarray:
-    """Centres with a cosine of at least ``alike`` to a heavier one join it, weighted by their vectors in the sample.
+    """Centres with a cosine of at least ``alike`` to a heavier one join it, weighted by their vectors in the sample;
+    where there are over FLAT, within groups of centres.
 
     K-means gives a large group of similar vectors many centres, which would tear its members apart."""
-    weight = np.maximum(np.bincount(nearest_cells(sample, centres, 1, 0.0)[:, 0], minlength=len(centres)), 1).astype(np.float32)
-    left, out = np.ones(len(centres), bool), []
-    for i in np.argsort(-weight, kind="stable"):
-        if left[i]:
-            near = left & (centres @ centres[i] >= alike)
-            near[i] = True
-            out.append((centres[near] * weight[near, None]).sum(axis=0))
-            left &= ~near
+    index = Centres.of(centres)
+    weight = np.maximum(np.bincount(index.nearest(sample, 1, 0.0)[:, 0], minlength=len(centres)), 1).astype(np.float32)
+    out = []
+    for group in index.lists:
+        own, heavy = centres[group], weight[group]
+        left = np.ones(len(own), bool)
+        for i in np.argsort(-heavy, kind="stable"):
+            if left[i]:
+                near = left & (own @ own[i] >= alike)
+                near[i] = True
+                out.append((own[near] * heavy[near, None]).sum(axis=0))
+                left &= ~near
     sums = np.array(out, np.float32)
     return sums / np.linalg.norm(sums, axis=1)[:, None]
 
 
+#: Vectors to a centre, sampled vectors to a centre, the centres from which they are searched in two levels, and the most centres
+#: there are (32 MB at 128 dimensions, and a sample of about a million vectors); from 6.5 million vectors cells grow with the table.
+PER_CENTRE, SAMPLED, FLAT, MOST_CENTRES = 100, 16, 4096, 65_536
+#: Groups of centres in which a vector's nearest are looked for.
+GROUPS = 16
+
+
+def nearest_cells(x: np.ndarray, centres: np.ndarray, most: int, margin: float) -> np.ndarray:
+    """(rows, most): cells of each row, nearest first, -1 for none."""
+    most = min(most, len(centres))
+    out = np.empty((len(x), most), np.int32)
+    rows = max(64, 2048 * FLAT // max(len(centres), FLAT))
+    for i in range(0, len(x), rows):
+        out[i : i + rows] = _within(*_top(x[i : i + rows] @ centres.T, most), margin)
+    return out
+
+
+def _top(dots: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Columns and values of the ``most`` largest of each row, largest first."""
+    top = np.argpartition(-dots, most - 1, axis=1)[:, :most] if most < dots.shape[1] else np.tile(np.arange(dots.shape[1]), (len(dots), 1))
+    value = np.take_along_axis(dots, top, axis=1)
+    order = np.argsort(-value, axis=1, kind="stable")
+    return np.take_along_axis(top, order, axis=1), np.take_along_axis(value, order, axis=1)
+
+
+def _within(top: np.ndarray, value: np.ndarray, margin: float) -> np.ndarray:
+    return np.where(value >= value[:, :1] - margin, top, -1)
+
+
+@dataclass(frozen=True)
+class Centres:
+    """Directions, in groups around ``heads`` if there are over FLAT: a vector's nearest are then looked for in the GROUPS groups nearest to it."""
+
+    all: np.ndarray
+    heads: np.ndarray
+    lists: list[np.ndarray]
+
+    @classmethod
+    def of(cls, centres: np.ndarray) -> Centres:
+        if len(centres) <= FLAT:
+            return cls(centres, centres[:1], [np.arange(len(centres))])
+        heads = spherical_kmeans(centres, round(math.sqrt(len(centres))))
+        own = nearest_cells(centres, heads, 1, 0.0)[:, 0]
+        found = np.unique(own)
+        return cls(centres, heads[found], [np.flatnonzero(own == g) for g in found])
+
+    def nearest(self, x: np.ndarray, most: int, margin: float) -> np.ndarray:
+        """As ``nearest_cells``."""
+        if len(self.lists) == 1:
+            return nearest_cells(x, self.all, most, margin)
+        most = min(most, len(self.all))
+        out = np.empty((len(x), most), np.int32)
+        for i in range(0, len(x), 16_384):
+            part = x[i : i + 16_384]
+            asked = nearest_cells(part, self.heads, GROUPS, 4.0)
+            best, value = np.full((len(part), most), -1, np.int64), np.full((len(part), most), -4.0, np.float32)
+            for g, group in enumerate(self.lists):
+                rows = np.flatnonzero((asked == g).any(axis=1))
+                if len(rows):
+                    top, dots = _top(part[rows] @ self.all[group].T, min(most, len(group)))
+                    both = np.concatenate([best[rows], group[top]], axis=1)
+                    order, value[rows] = _top(np.concatenate([value[rows], dots], axis=1), most)
+                    best[rows] = np.take_along_axis(both, order, axis=1)
+            out[i : i + 16_384] = _within(best, value, margin)
+        return out
+
+
 @dataclass(frozen=True)
 class Cells:
     """Overlapping cells: a vector lies in the cells of its ``most`` nearest centres whose cosine is within
-    ``margin`` of the best.  A cell of over ``block`` vectors (estimated from the sample) is cut into
+    ``margin`` of the best, which is its home.  A cell of over ``block`` vectors (estimated from the sample) is cut into
     blocks by the hash of the id; each pair of its blocks is a tile, so every pair of a cell's vectors
     meets in a tile however many vectors the cell holds, and no task gets more than two blocks."""
 
@@ -162,44 +234,25 @@ class Cells:
         return np.concatenate([[0], np.cumsum(self.blocks * (self.blocks + 1) // 2)])[:-1]
 
 
-#: Vectors to a centre, sampled vectors to a centre, and the centres from which they are trained in two levels.
-PER_CENTRE, SAMPLED, FLAT = 100, 16, 4096
-
-
-def nearest_cells(x: np.ndarray, centres: np.ndarray, most: int, margin: float) -> np.ndarray:
-    """(rows, most): cells of each row, nearest first, -1 for none."""
-    most = min(most, len(centres))
-    out = np.empty((len(x), most), np.int32)
-    rows = max(64, 2048 * FLAT // max(len(centres), FLAT))
-    for i in range(0, len(x), rows):
-        dots = x[i : i + rows] @ centres.T
-        top = np.argpartition(-dots, most - 1, axis=1)[:, :most] if most < dots.shape[1] else np.tile(np.arange(most), (len(dots), 1))
-        value = np.take_along_axis(dots, top, axis=1)
-        order = np.argsort(-value, axis=1, kind="stable")
-        top, value = np.take_along_axis(top, order, axis=1), np.take_along_axis(value, order, axis=1)
-        out[i : i + rows] = np.where(value >= value[:, :1] - margin, top, -1)
-    return out
-
-
 def train_cells(sample: np.ndarray, n_rows: int, most: int = 3, margin: float = 0.15, block: int = 16_384, alike: float = 0.85) -> Cells:
-    """Cells for about ``n_rows`` vectors, from a sample of them; their number grows with the rows."""
-    k = 2 ** round(math.log2(max(n_rows / PER_CENTRE, 1)))
+    """Cells for about ``n_rows`` vectors, from a sample of them; their number grows with the rows, up to MOST_CENTRES."""
+    k = min(2 ** round(math.log2(max(n_rows / PER_CENTRE, 1))), MOST_CENTRES)
     k = max(1, min(k, len(sample)))
     centres = without_near_copies(two_level_kmeans(sample, k), sample, alike)
-    counts = np.bincount(nearest_cells(sample, centres, most, margin).ravel() + 1, minlength=len(centres) + 1)[1:]
+    counts = np.bincount(Centres.of(centres).nearest(sample, most, margin).ravel() + 1, minlength=len(centres) + 1)[1:]
     expected = counts * (n_rows / max(len(sample), 1))
     return Cells(centres, np.maximum(1, np.ceil(expected / block)).astype(np.int64), most, margin)
 
 
 def sample_size(n_rows: int) -> int:
-    """Rows to train cells on: SAMPLED for each centre."""
-    return int(max(n_rows / PER_CENTRE * SAMPLED, 4096))
+    """Rows to train cells on: SAMPLED for each centre, so at most SAMPLED times MOST_CENTRES."""
+    return int(min(max(n_rows / PER_CENTRE * SAMPLED, 4096), SAMPLED * MOST_CENTRES))
 
 
 def tiled(vectors: DataFrame, cells: Cells, dim: int) -> DataFrame:
     """(tile, cell, side, id, vec): each vector once for each tile of each of its cells.  ``side`` is its
     block within the tile: -1 where the tile has one block, else 0 or 1."""
-    shared = vectors.sparkSession.sparkContext.broadcast((cells.centres, cells.blocks, cells.bases))
+    shared = vectors.sparkSession.sparkContext.broadcast((Centres.of(cells.centres), cells.blocks, cells.bases))
     most, margin = cells.most, cells.margin
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +261,7 @@ def tiled(vectors: DataFrame, cells: Cells, dim: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             x = units(unpack(batch.column("vec"), dim)).astype(np.float32)
-            own = nearest_cells(x, centres, most, margin)
+            own = centres.nearest(x, most, margin)
             row, slot = np.nonzero(own >= 0)
             cell = own[row, slot]
             n, block = blocks[cell], np.asarray(batch.column("hash"))[row] % blocks[cell]
@@ -227,3 +280,45 @@ def tiled(vectors: DataFrame, cells: Cells, dim: int) -> DataFrame:
 
     keyed = vectors.withColumn("hash", F.pmod(F.xxhash64("id", F.lit("block")), F.lit(1 << 40)))
     return keyed.mapInArrow(run, "tile bigint, cell int, side int, id string, vec binary")
+
+
+def home_tiled(vectors: DataFrame, cells: Cells, dim: int) -> DataFrame:
+    """(tile, whole, role, id, hash, vec): tiles in which the vectors at home in a cell meet all vectors of the cell, each pair once.
+
+    ``role`` is 1 for a row of a tile (a vector at home), 0 for a column, 2 for both.  A cell of n blocks has n x n tiles, a block at home
+    in each against one of all blocks; ``whole`` tells of a cell of one tile."""
+    bases = np.concatenate([[0], np.cumsum(cells.blocks**2)])[:-1]
+    shared = vectors.sparkSession.sparkContext.broadcast((Centres.of(cells.centres), cells.blocks, bases))
+    most, margin = cells.most, cells.margin
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, blocks, bases = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = centres.nearest(units(unpack(batch.column("vec"), dim)).astype(np.float32), most, margin)
+            hashed = np.asarray(batch.column("hash"))
+            row, slot = np.nonzero(own >= 0)
+            out = []
+            # As columns in the tiles of every row block, and those at home as rows in the tiles of every column block.
+            for chosen, is_row in ((np.ones(len(row), bool), False), (slot == 0, True)):
+                r, cell = row[chosen], own[row[chosen], slot[chosen]]
+                n, block = blocks[cell], hashed[r] % blocks[cell]
+                times = np.repeat(n, n)
+                other = np.arange(len(times)) - np.repeat(np.cumsum(n) - n, n)
+                r, cell, block, at_home = (np.repeat(v, n) for v in (r, cell, block, slot[chosen] == 0))
+                i, j = (block, other) if is_row else (other, block)
+                both = (i == j) & at_home
+                # A vector that is row and column of a tile comes once, as a column.
+                kept = ~both if is_row else np.ones(len(r), bool)
+                role = np.where(both, 2, int(is_row))
+                out.append([x[kept] for x in (bases[cell] + i * times + j, times == 1, role, r)])
+            tile, whole, role, r = (np.concatenate(x) for x in zip(*out))
+            take = pa.array(r)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tile, pa.int64()), pa.array(whole), pa.array(role, pa.int32()), batch.column("id").take(take), batch.column("hash").take(take), batch.column("vec").take(take)],
+                ["tile", "whole", "role", "id", "hash", "vec"],
+            )
+
+    keyed = vectors.withColumn("hash", F.pmod(F.xxhash64("id", F.lit("block")), F.lit(1 << 40)))
+    return keyed.mapInArrow(run, "tile bigint, whole boolean, role int, id string, hash bigint, vec binary")

@@ -142,14 +142,19 @@ def test_clusters(spark, monkeypatch, block):
 
 @pytest.mark.parametrize("centres, held", [(60, 32_768), (60, 100), (10_000, 100)])
 def test_clusters_that_share_no_cell(spark, monkeypatch, centres, held):
-    """Each vector in one of many cells, or all but alone in it: most links are between vectors without a common cell."""
+    """Each vector in one of many cells, or all but alone in it: what has no link there gets a second chance, and whole groups
+    are found from any two linked members."""
     vectors = planted([80, 40, 12, 6, 5, 4], 100, noise=0.1)
     first = vectors[0][1].astype(float) / np.linalg.norm(vectors[0][1].astype(float))
     across = np.eye(DIM)[0] - first[0] * first
     # Linked with some members of the first group only.
     vectors.append(("outside", (0.75 * first + 0.66 * across / np.linalg.norm(across)).astype(np.float16)))
+    calls = []
 
     def scattered(sample, n, most, margin):
+        calls.append(n)
+        if len(calls) > 1:
+            return train_cells(sample, n, most, margin)
         chosen = sample[np.random.default_rng(3).permutation(len(sample))[:centres]]
         return Cells(chosen, np.ones(len(chosen), np.int64), 1, 0.0)
 
@@ -158,7 +163,36 @@ def test_clusters_that_share_no_cell(spark, monkeypatch, centres, held):
     monkeypatch.setattr(clusters, "BLOCK", 30)
     got = [(r.cluster_id, r.id) for r in mutual_clusters(similarity_clusters(table(spark, vectors), DIM)).collect()]
     want = cliques_by_hand(vectors)
-    assert len(got) == len(set(got)) and set(got) == want and len({c for c, _ in want}) >= 3
+    assert len(got) == len(set(got)) and set(got) == want and len({c for c, _ in want}) >= 3 and len(calls) == 2
+
+
+@pytest.mark.parametrize("block", [16_384, 25])
+def test_clusters_that_are_no_cliques(spark, monkeypatch, block):
+    """Two crowded arcs, each too wide for all of its vectors to be linked, with a bridge: the flow parts them, as it does on the whole graph."""
+    rng = np.random.default_rng(9)
+    degrees = np.concatenate([rng.uniform(0, 50, 60), rng.uniform(80, 130, 60), [65.0]])
+    x = np.stack([np.cos(np.radians(degrees)), np.sin(np.radians(degrees))], axis=1)
+    vectors = [(f"v{i:03}", np.concatenate([v, np.zeros(DIM - 2)]).astype(np.float16)) for i, v in enumerate(x)] + [(f"twin{i}", np.concatenate([x[3], np.zeros(DIM - 2)]).astype(np.float16)) for i in range(20)]
+    monkeypatch.setattr(clusters, "train_cells", functools.partial(train_cells, block=block))
+    monkeypatch.setattr(clusters, "BLOCK", 50)
+    found = similarity_clusters(table(spark, vectors), DIM)
+    got = {}
+    for r in found.members.collect():
+        got.setdefault(r.cluster, set()).add(r.id)
+    ordered = sorted(vectors)
+    linked = cosines(ordered) >= 0.75
+    edges = [(i, j, 1.0) for i, j in zip(*np.nonzero(linked)) if i < j]
+    flow = by_hand_mcl(len(ordered), edges, {})
+    want = {}
+    for i, to in enumerate(flow):
+        want.setdefault(to, set()).add(ordered[i][0])
+    assert set(map(frozenset, got.values())) == set(map(frozenset, want.values()))
+    # Linked all the way, so that without the flow they would be one group, and none of them is mutual.
+    reach = np.linalg.matrix_power(linked.astype(float), 12) > 0
+    assert reach[0].all() and 2 <= len(got) <= 4 and found.rounds > 1 and found.settled
+    assert mutual_clusters(found).count() == 0
+    profiles = cluster_profiles(found).collect()
+    assert sorted(r.n_members for r in profiles) == sorted(map(len, got.values())) and all(set(r.typical_ids) <= next(g for g in got.values() if r.cluster_id in g) for r in profiles)
 
 
 def test_clusters_of_little(spark):
@@ -173,7 +207,7 @@ def by_hand_mcl(n, edges, loops, inflation=2.0, least=0.004):
         m[a, b] = m[b, a] = w
     keep = lambda x: np.where((x >= least) | (x == x.max(axis=0)), x, 0) / np.where((x >= least) | (x == x.max(axis=0)), x, 0).sum(axis=0)
     m = keep(m / m.sum(axis=0))
-    for _ in range(40):
+    for _ in range(60):
         m = (m @ m) ** inflation
         m = keep(m / m.sum(axis=0))
     top = np.round(m, 6).argmax(axis=0)
@@ -182,14 +216,50 @@ def by_hand_mcl(n, edges, loops, inflation=2.0, least=0.004):
 
 def test_markov_clustering(spark):
     edges = [(0, 1, 1.0), (1, 2, 1.0), (0, 2, 1.0), (2, 3, 0.1), (3, 4, 1.0), (4, 5, 1.0), (3, 5, 1.0), *[(6, i, 2.0) for i in range(7, 60)]]
-    loops = {0: 1.0, 6: 30.0}
     df = spark.createDataFrame([(f"{a:02}", f"{b:02}", w) for a, b, w in edges], "a string, b string, w double")
-    own = spark.createDataFrame([(f"{i:02}", w) for i, w in loops.items()], "node string, w double")
-    got = {int(r.node): int(r.attractor) for r in markov_clusters(df, own).collect()}
-    want = by_hand_mcl(60, edges, loops)
+    none = spark.createDataFrame([], "node string, w double")
+    flow = markov_clusters(df, none)
+    got = {int(r.node): int(r.attractor) for r in flow.settled.collect()}
+    want = by_hand_mcl(60, edges, {})
     same = lambda of: {frozenset(i for i in range(60) if of[i] == of[j]) for j in range(60)}
-    assert same(got) == same(want)
-    assert markov_clusters(df.limit(0), own).count() == 0
+    assert same(got) == same(want) and flow.unrest < 1e-4
+    stopped = markov_clusters(df, none, most_rounds=1)
+    assert stopped.rounds == 1 and stopped.unrest >= 1e-4
+    assert markov_clusters(df.limit(0), none).settled.count() == 0
+
+
+def test_nodes_of_several_vertices(spark):
+    """A node for vertices with the same links gives what the vertices give."""
+    rng = np.random.default_rng(2)
+    sizes = {i: int(rng.integers(1, 6)) for i in range(14)}
+    pairs = {tuple(sorted(map(int, rng.choice(14, 2, replace=False)))) for _ in range(22)}
+    vertices = [(i, c) for i in range(14) for c in range(sizes[i])]
+    whole = [(vertices.index(x), vertices.index(y), 1.0) for x in vertices for y in vertices if x < y and (x[0] == y[0] or tuple(sorted((x[0], y[0]))) in pairs)]
+    want = by_hand_mcl(len(vertices), whole, {}, least=0)
+    edges = spark.createDataFrame([(f"{a:02}", f"{b:02}", 1.0) for a, b in pairs], "a string, b string, w double")
+    own = spark.createDataFrame([(f"{i:02}", float(n)) for i, n in sizes.items()], "node string, w double")
+    got = {int(r.node): int(r.attractor) for r in markov_clusters(edges, own, least=0.0).settled.collect()}
+    for x in vertices:
+        for y in vertices:
+            if x[0] in got and y[0] in got:
+                assert (got[x[0]] == got[y[0]]) == (vertices[want[vertices.index(x)]][0] == vertices[want[vertices.index(y)]][0])
+
+
+def test_centres_in_groups(monkeypatch):
+    from corpusloom.llm import vectors as module
+
+    rng = np.random.default_rng(4)
+    centres = units(rng.normal(size=(600, 16))).astype(np.float32)
+    x = units(rng.normal(size=(500, 16))).astype(np.float32)
+    want = module.Centres.of(centres).nearest(x, 3, 0.2)
+    monkeypatch.setattr(module, "FLAT", 64)
+    grouped = module.Centres.of(centres)
+    got = grouped.nearest(x, 3, 0.2)
+    assert len(grouped.lists) > 10 and sorted(np.concatenate(grouped.lists)) == list(range(600))
+    assert (got[:, 0] == want[:, 0]).mean() > 0.97 and module.sample_size(10**10) == 16 * 65_536
+    sample = units(rng.normal(size=(4000, 16))).astype(np.float32)
+    cells = train_cells(sample, 10**6, alike=0.9)
+    assert 1000 < len(cells.centres) <= 4000
 
 
 def test_ward_by_rounds():
