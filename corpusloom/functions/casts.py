@@ -15,6 +15,11 @@ def stripped(col: Column) -> Column:
     return F.regexp_replace(col, f"^{BLANKS}+|{BLANKS}+$", "")
 
 
+def not_blank(col: Column) -> Column:
+    """True for text with something other than white space of any kind; it is read up to that only."""
+    return F.coalesce(col.rlike(f"[^{BLANKS[1:]}"), F.lit(False))
+
+
 def safe_string(col: Column, default: str = "") -> Column:
     """Null becomes ``default``, anything else its text."""
     return F.coalesce(col.cast("string"), F.lit(default))

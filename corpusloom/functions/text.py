@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.casts import stripped
+from corpusloom.functions.casts import not_blank as not_blank
 
 # Prefixes of the roles of a text, and column names in order of preference.
 ROLES = {"query": "query: ", "passage": "passage: "}
@@ -27,11 +27,6 @@ def with_role(col: Column, role: str = "query") -> Column:
     return F.concat(F.lit(ROLES[role]), F.coalesce(col, F.lit("")))
 
 
-def not_blank(col: Column) -> Column:
-    """True for text with something other than white space of any kind."""
-    return F.coalesce(stripped(col) != "", F.lit(False))
-
-
 def millions_label(col: Column) -> Column:
     """``0m``, ``1m``, ``6.6m``: millions with at most one decimal."""
     return F.concat(F.regexp_replace(F.format_string("%.1f", col / F.lit(1_000_000.0)), r"\.0$", ""), F.lit("m"))
