@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from corpusloom.functions.casts import stripped
+from corpusloom.functions.casts import not_blank, stripped
 from corpusloom.llm.shapes import pieces, sparse_vectors, words_of
 from corpusloom.llm.tokens import VOCABULARY, count
 from corpusloom.operators.skew import hot_keys, repeat_rows, split_rows
@@ -98,7 +98,7 @@ def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_co
 
     cores = spark.sparkContext.defaultParallelism
     texts = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), source_name(F.col(source_col)).alias("source"))
-    texts = texts.filter(F.col("id").isNotNull() & (stripped(F.col("text")) != ""))
+    texts = texts.filter(F.col("id").isNotNull() & not_blank(F.col("text")))
     known = F.array_position(F.lit(names), F.col("source"))
     label = F.when(F.col("source").isNull(), -1).when((known > 0) & (known < k), known - 1).otherwise(k - 1).cast("int")
     texts = texts.select("id", "text", label.alias("label"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.casts import stripped
+from corpusloom.functions.casts import not_blank
 from corpusloom.operators.skew import hot_keys, repeat_rows, split_rows
 from corpusloom.session import written
 
@@ -17,18 +17,23 @@ COMPOSED = {
     "ç": "ç", "ğ": "ğ", "ş": "ş", "ö": "ö", "ü": "ü", "ä": "ä",
     "â": "â", "î": "î", "û": "û", "é": "é", "è": "è", "á": "á",
 }
-PARTS = 16
 
 
-def words(text: Column) -> Column:
-    """Letters and digits of ``text`` in lower case, everything between them as one blank, one blank at
-    either end.  I, ı, İ and i are one letter; other accents are kept, also those written as separate
-    marks; invisible marks fall out."""
-    low = F.lower(F.upper(text))
+def small_letters(text: Column) -> Column:
+    """``text`` in lower case, in which I, ı, İ and i are one letter, and so are the forms of sigma."""
+    low = F.lower(F.replace(text, F.lit("İ"), F.lit("i")))
+    return F.replace(F.replace(low, F.lit("ı"), F.lit("i")), F.lit("ς"), F.lit("σ"))
+
+
+def words(low: Column) -> Column:
+    """Letters and digits of a text of ``small_letters``, everything between them as one blank, one blank at
+    either end.  Accents are kept, also those written as separate marks; invisible marks fall out."""
+    composed = low
     for pair, letter in COMPOSED.items():
-        low = F.replace(low, F.lit(pair), F.lit(letter))
-    low = F.translate(F.regexp_replace(low, r"[\p{Cf}\p{M}]", ""), "ıς", "iσ")
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(low, r"[^\p{L}\p{Nd}]+", " ")), F.lit(" "))
+        composed = F.replace(composed, F.lit(pair), F.lit(letter))
+    composed = F.regexp_replace(composed, r"[\p{Cf}\p{M}]", "")
+    clean = F.when(low.rlike(r"[\p{Cf}\p{M}]"), composed).otherwise(low)
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(clean, r"[^\p{L}\p{Nd}]+", " ")), F.lit(" "))
 
 
 @dataclass(frozen=True)
@@ -61,7 +66,7 @@ def labelled_records(rows: DataFrame, text: str, labels: Sequence[str], body_lab
     stands before the first one is a field without a label, and a text without the body's label is all body.
     """
     compact = lambda x: F.replace(x, F.lit(" "), F.lit(""))
-    found = rows.withColumn("_words", words(F.col(text))).drop(text).withColumn("_at", F.locate(f" {body_label} ", F.col("_words")))
+    found = rows.withColumn("_low", small_letters(F.col(text))).drop(text).withColumn("_words", words(F.col("_low"))).drop("_low").withColumn("_at", F.locate(f" {body_label} ", F.col("_words")))
     # Blanks are doubled so that labels next to each other do not share one.
     header = F.replace(F.when(F.col("_at") > 0, F.substring("_words", F.lit(1), F.col("_at"))).otherwise(" "), F.lit(" "), F.lit("  "))
     body = F.when(F.col("_at") > 0, F.substring("_words", F.col("_at") + len(body_label) + 1, F.length("_words"))).otherwise(F.col("_words"))
@@ -86,12 +91,12 @@ def record_classes(rows: DataFrame, id_col: str, text_col: str, labels: Sequence
     before any shuffle of texts, and only digests with several ids are confirmed: their structures are
     compared in full by grouping on digest and structure, which is combined before the shuffle, so a
     group of copies costs one row for each task that sees it.  Digests shared by different structures
-    are told apart by the structure.  Digests with a large share of all ids are split in the last join.
+    are told apart by the structure.  Digests of many ids are split wherever ids are joined with them.
 
     Null ids and null or blank texts are left out; texts without letters and digits are one record.  An id
     delivered with different records belongs to the class of each.  An empty table gives an empty result.
     """
-    source = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("id").isNotNull() & (stripped(F.col("text")) != ""))
+    source = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("id").isNotNull() & not_blank(F.col("text")))
     record = Record(F.col("fields"), F.col("body"))
 
     def rooted(texts: DataFrame) -> DataFrame:
@@ -102,21 +107,23 @@ def record_classes(rows: DataFrame, id_col: str, text_col: str, labels: Sequence
     sized = ids.groupBy("root").agg(F.count("*").alias("count"), F.min("id").alias("keep"))
     alone = sized.filter("count = 1").select("keep", F.col("keep").alias("id"), "root")
     several = sized.filter("count > 1").select("root")
+    hot = hot_keys(sized.select("root", "count"), "root", ids.count())
+    spread = split_rows(ids, hot, "root", "id")
 
-    doubtful = source.join(ids.join(several, "root", "left_semi").select("id").distinct(), "id", "left_semi")
+    asked = spread.join(repeat_rows(several, hot, "root"), ["root", "part"], "left_semi").select("id").distinct()
+    doubtful = source.join(asked, "id", "left_semi")
     shaped = rooted(doubtful).select("id", "root", record.structure.alias("structure"))
     forms = written(shaped.groupBy("root", "structure").agg(F.min("id").alias("keep")), "forms")
     by_root = forms.groupBy("root").agg(F.count("*").alias("forms"), F.min("keep").alias("keep")).join(several, "root", "left_semi")
     same = by_root.filter("forms = 1").select("root", "keep")
     mixed = by_root.filter("forms > 1").select("root")
 
-    total = ids.count()
-    hot = hot_keys(sized.select("root", "count"), "root", total, PARTS)
-    copies = split_rows(ids, hot, "root", "id").join(repeat_rows(same, hot, "root"), ["root", "part"]).select("keep", "id", "n_rows")
+    copies = spread.join(repeat_rows(same, hot, "root"), ["root", "part"]).select("keep", "id", "n_rows")
     lone = ids.join(alone, ["root", "id"]).select("keep", "id", "n_rows")
     if mixed.isEmpty():
         return lone.unionByName(copies)
-    apart = shaped.join(mixed, "root", "left_semi").groupBy("root", "structure", "id").agg(F.count("*").alias("n_rows")).join(forms, ["root", "structure"]).select("keep", "id", "n_rows")
+    shaped = split_rows(shaped, hot, "root", "id").join(repeat_rows(mixed, hot, "root"), ["root", "part"], "left_semi")
+    apart = shaped.groupBy("root", "structure", "id").agg(F.count("*").alias("n_rows")).join(forms, ["root", "structure"]).select("keep", "id", "n_rows")
     return lone.unionByName(copies).unionByName(apart)
 
 

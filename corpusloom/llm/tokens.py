@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from corpusloom.functions.casts import stripped
+from corpusloom.functions.casts import not_blank
 
 #: A vocabulary of ranks for byte-level BPE; another path may be given, or named in the environment.
 VOCABULARY = os.environ.get("CORPUSLOOM_TOKENIZER", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
@@ -57,7 +57,7 @@ def slices(text: str, size: int = SLICE) -> Iterator[str]:
 
 def token_counts(rows: DataFrame, id_col: str, text_col: str, *carried: str, path: str = VOCABULARY) -> DataFrame:
     """(id_col, carried columns, n_tokens) for each row with an id and a text that is not blank."""
-    kept = rows.filter(F.col(id_col).isNotNull() & (stripped(F.col(text_col)) != "")).select(id_col, *carried, F.col(text_col).alias("_text"))
+    kept = rows.filter(F.col(id_col).isNotNull() & not_blank(F.col(text_col))).select(id_col, *carried, F.col(text_col).alias("_text"))
     names = [id_col, *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
