@@ -24,6 +24,14 @@ class Codebooks:
     words: np.ndarray
     weight: float
 
+    def errors(self, rest: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """By how much the score of each row may be off for any query of length 1: the length of what its code leaves."""
+        m, _, w = self.words.shape
+        left = rest.reshape(-1, m, w).copy()
+        for j in range(m):
+            left[:, j] -= self.words[j][code[:, j]]
+        return np.sqrt(np.einsum("ijk,ijk->i", left, left))
+
     def encode(self, rest: np.ndarray, unit: np.ndarray, rounds: int = 1) -> np.ndarray:
         """(rows, subspaces): the codeword numbers that make the anisotropic loss small: the squared error,
         with its part along the vector counted ``weight`` times.  Coordinate descent from the nearest words."""
@@ -103,8 +111,8 @@ def _scan(tables: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return total.T
 
 
-#: Queries scanned at once; rows from which two four-bit codes are looked up as one byte; what a scan may be off.
-QUERIES, PAIRED, SLACK = 128, 1024, 0.12
+#: Queries scanned at once; rows from which two four-bit codes are looked up as one byte, which sums the same words in half the steps.
+QUERIES, PAIRED = 128, 1024
 
 
 class _Side:
@@ -124,8 +132,10 @@ class _Side:
         self.first[group[order][kept], place[kept]] = order[kept]
 
 
-def _best(queries: _Side, rows: _Side, own: bool, codes: np.ndarray, length: np.ndarray, books: Codebooks, centre: np.ndarray, k: int, least: float, shortlist: int):
-    """(query's row, other row, cosine) of the k best for each row of ``queries`` among the rows of ``rows``."""
+def _best(queries: _Side, rows: _Side, own: bool, codes: np.ndarray, length: np.ndarray, error: np.ndarray, books: Codebooks, centre: np.ndarray, k: int, least: float, shortlist: int):
+    """(query's row, other row, cosine) of the k best for each row of ``queries`` among the rows of ``rows``.
+
+    A query for which no row can reach ``least``, with the row's own error added to its score, is done after the scan."""
     m, _, w = books.words.shape
     paired = len(rows.unit) >= PAIRED
     code = np.ascontiguousarray((codes[:, ::2] | codes[:, 1::2] << 4).T if paired else codes.T).astype(np.intp)
@@ -141,7 +151,9 @@ def _best(queries: _Side, rows: _Side, own: bool, codes: np.ndarray, length: np.
         total *= step[:, None].astype(np.float32)
         total += low.sum(axis=(0, 1))[:, None]
         total *= length
-        good = np.flatnonzero(total.max(axis=1) + unit @ centre >= least - SLACK)
+        # What rounding the tables may have cost: half a step for each of them.
+        rounded = step * len(code) / 2 * float(length.max()) + 1e-4
+        good = np.flatnonzero((total + error).max(axis=1) + unit @ centre >= least - rounded)
         if not len(good):
             continue
         total = total[good]
@@ -182,14 +194,16 @@ def _tile(table: pa.Table, k: int, least: float, shortlist: int, dim: int, centr
     sides = [_Side(own, unit, k) for own, unit in parts]
     rests = [(s.unit - centre).astype(np.float32) for s in sides]
     lengths = [_lengths(r) for r in rests]
-    codes = [books.encode(r / n[:, None], s.unit.astype(np.float32)) for s, r, n in zip(sides, rests, lengths)]
+    rests = [r / n[:, None] for r, n in zip(rests, lengths)]
+    codes = [books.encode(r, s.unit.astype(np.float32)) for s, r in zip(sides, rests)]
+    errors = [(books.errors(r, c) * n).astype(np.float32) for r, c, n in zip(rests, codes, lengths)]
     if (side == -1).all():
         pairs = [(0, 0)]
     else:
         pairs = [(0, 1), (1, 0)] if len(sides) == 2 else []
     out: list[list] = [[], [], []]
     for a, b in pairs:
-        for q, o, cos in _best(sides[a], sides[b], a == b, codes[b], lengths[b], books, centre, k, least, max(shortlist, len(sides[b].unit) // 40)):
+        for q, o, cos in _best(sides[a], sides[b], a == b, codes[b], lengths[b], errors[b], books, centre, k, least, max(shortlist, len(sides[b].unit) // 40)):
             out[0].append(sides[a].ids[q])
             out[1].append(sides[b].ids[o])
             out[2].append(cos)
@@ -205,8 +219,9 @@ def most_similar(rows: DataFrame, dim: int, k: int = 3, least: float = 0.75, id_
 
     Cells and their centres come from a sample that grows with the rows (``sample_size``), the four-bit codebooks from TRAINED of it; all
     vectors are indexed and all are queries.  Within a tile of a cell the residuals are quantised with the
-    anisotropic loss, table scans pick ``shortlist`` candidates (or 1/40 of the tile, if more), and these
-    are ranked by exact cosines.  Equal vectors count once in a scan and keep their k + 1 smallest ids, so
+    anisotropic loss, table scans pick ``shortlist`` candidates (or 1/40 of the tile, if more: from 40 times as many rows
+    the list grows with the tile, since more rows are then nearly as good as the best), and these
+    are ranked by exact cosines.  A scan ends a query only where the rows' own errors rule out any cosine of ``least``.  Equal vectors count once in a scan and keep their k + 1 smallest ids, so
     ties among any number of copies come out right.  Neighbours that share no tile are missed; the tests
     measure the share found.
 
