@@ -6,7 +6,7 @@ import pytest
 from corpusloom.llm import clusters, neighbours
 from corpusloom.llm.clusters import cluster_profiles, markov_clusters, mutual_clusters, similarity_clusters
 from corpusloom.llm.neighbours import most_similar, similar_pairs
-from corpusloom.llm.subset import Features, agglomerate, cut, varied_subsets
+from corpusloom.llm.subset import Features, Tree, _parted, _unlike, agglomerate, varied_subsets
 from corpusloom.llm.vectors import Cells, pack, sample_size, tiled, train_cells, units, unpack, usable_vectors
 
 DIM = 64
@@ -267,26 +267,54 @@ def test_ward_by_rounds():
     x = rng.normal(size=(40, 4)).astype(np.float32)
     f = Features(x, np.ones(40), np.ones(40, np.int64), np.zeros(40, bool))
     _, merges = agglomerate(f, 1, 2.0)
+    steps = sorted((c, a, b) for m in merges for a, b, c in zip(*(v.tolist() for v in m)))
     groups = [[i] for i in range(40)]
     for k in (30, 10, 3):
         while len(groups) > k:
             cost = [(len(a) * len(b) / (len(a) + len(b)) * ((x[a].mean(0) - x[b].mean(0)) ** 2).sum(), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j]
             _, i, j = min(cost)
             groups[i] += groups.pop(j)
-        want = sorted(x[g].mean(axis=0).round(4).tolist() for g in groups)
-        assert np.allclose(sorted(cut(f, merges, k).round(4).tolist()), want, atol=1e-3)
+        up = _parted(40, [(a, b) for _, a, b in steps[: 40 - k]])
+        assert {frozenset(g) for g in groups} == {frozenset(np.flatnonzero(up == g).tolist()) for g in np.unique(up)}
 
 
-def test_subsets(spark):
+def test_tree():
+    rng = np.random.default_rng(8)
+    centres = units(rng.normal(size=(90, DIM)))
+    x = units(centres[rng.integers(90, size=3000)] + 0.03 * rng.normal(size=(3000, DIM))).astype(np.float32)
+    tree = Tree(DIM, 1000, 0.75)
+    tree.add(x)
+    assert 90 <= len(tree.f) <= 120 and tree.f.count.sum() == 3000 and np.bincount(tree.node).max() <= 32 and tree.f.tight.all()
+    small = Tree(DIM, 40, 0.75)
+    small.add(x)
+    assert len(small.f) <= 40 and small.f.count.sum() == 3000 and len(small.node) == len(small.f)
+    # Many equal vectors: one entry.
+    same = Tree(DIM, 40, 0.75)
+    same.add(np.tile(x[:1], (5000, 1)))
+    assert len(same.f) == 1 and same.f.count[0] == 5000
+
+
+def test_unlike():
+    x = units(np.array([[1, 0], [1, 0.01], [0, 1], [0.02, 1], [-1, 0]]))
+    assert _unlike(x, 3, 0.75).tolist() == [0, 2, 4] and _unlike(x, 4, 0.75).tolist() == [0, 2, 4, 1] and _unlike(x[:1], 3, 0.75).tolist() == [0]
+
+
+@pytest.mark.parametrize("cell_rows", [2048, 30])
+def test_subsets(spark, cell_rows):
     vectors = planted([200, 60, 20, 8], 60)
     vectors += [(f"same{i:02}", vectors[0][1]) for i in range(40)]
     sizes = spark.createDataFrame([("a", 4), ("b", 50), ("c", 388), ("all", 388), ("more", 389), ("none", 0), ("null", None)], "subset_name string, n_select int")
     rows = table(spark, [*vectors, *BAD, vectors[0]]).repartition(3)
     assert len(vectors) == 388
     got = {}
-    for r in varied_subsets(rows, sizes, DIM).collect():
+    for r in varied_subsets(rows, sizes, DIM, cell_rows=cell_rows).collect():
         got.setdefault(r.subset_name, []).append(r.id)
     assert {k: (len(v), len(set(v))) for k, v in got.items()} == {"a": (4, 4), "b": (50, 50), "c": (388, 388), "all": (388, 388)}
     groups = [i.split("-")[0] for i in got["b"] if i.startswith("g")]
     assert set(groups) == {"g00", "g01", "g02", "g03"} and max(map(groups.count, groups)) <= 3
+    # However the rows are partitioned, the same ids come out.
+    again = {}
+    for r in varied_subsets(rows.repartition(7, "tile", "id"), sizes, DIM, cell_rows=cell_rows).collect():
+        again.setdefault(r.subset_name, []).append(r.id)
+    assert {k: sorted(v) for k, v in again.items()} == {k: sorted(v) for k, v in got.items()}
     assert varied_subsets(rows.limit(0), sizes, DIM).count() == 0 and varied_subsets(rows, sizes.limit(0), DIM).count() == 0
