@@ -62,7 +62,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     The table is removed when the application ends, or before by ``discarded``."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     files, at = file_system(spark, path)
     files.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
@@ -70,6 +70,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished work, which it does when the driver's JVM finds that nothing refers to them any more."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def discarded(df: DataFrame) -> None:
     """Removes a table of ``written`` that nothing will read any more."""
     files, at = file_system(df.sparkSession, df._written_to)
