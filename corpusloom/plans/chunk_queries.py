@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,8 @@ from corpusloom.operators.chunking import chunk_documents, token_count, window_c
 from corpusloom.operators.enrichment import carried_defaults, current_documents, enriched, missing_documents, record_id, vector_records
 from corpusloom.operators.profiling import index_rows
 from corpusloom.plans.tables import table
-from corpusloom.sources.files import read_rows
+from corpusloom.session import shared_folder
+from corpusloom.sources.files import read_json_lines, read_rows, write_json_lines
 
 _GAP = r"[ \t\n\r\f]"
 _TOKEN = r"[^ \t\n\r\f]+"
@@ -142,6 +145,13 @@ def current_document_rows(spark: SparkSession, folder: str) -> DataFrame:
     return current_documents(table(spark, folder, "merged_unique_documents")).select("documentid", "birimadi", "loaded_at", F.sha1(F.coalesce("mdtext", F.lit(""))).alias("text_digest"))
 
 
+def json_lines_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts written as JSON lines and read again: how often each occurs, by its digest."""
+    path = f"{shared_folder(spark).rstrip('/')}/corpusloom/lines-{uuid.uuid4().hex}"
+    write_json_lines(table(spark, folder, "documents"), path, "text")
+    return read_json_lines(spark, path).groupBy(F.sha1("content").alias("digest")).agg(F.count("*").alias("n"), F.max(F.length("content")).alias("length"))
+
+
 def head_rows(spark: SparkSession, folder: str) -> DataFrame:
     return index_rows(table(spark, folder, "embeddings")).orderBy("row_index").limit(10).select("vec_id", "label")
 
@@ -187,5 +197,6 @@ QUERIES = {
         r"select doc_checksum, count(*) as n, cast(sum(length(mdtext)) as bigint) as n_chars from chunks where regexp_replace(mdtext, '[\s\p{Z}\x{200B}]', '', 'g') <> '' group by doc_checksum",
     ),
     "current_document_rows": (current_document_rows, f"with {_CURRENT.strip()} select documentid, birimadi, loaded_at, sha1(coalesce(mdtext, '')) as text_digest from current"),
+    "json_lines_round_trip": (json_lines_round_trip, "select sha1(coalesce(text, '')) as digest, count(*) as n, cast(max(length(coalesce(text, ''))) as int) as length from documents group by 1"),
     "head_rows": (head_rows, "select vec_id, label from embeddings order by vec_id limit 10"),
 }

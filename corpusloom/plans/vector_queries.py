@@ -10,7 +10,7 @@ from corpusloom.operators.embedding import embedded
 from corpusloom.operators.filters import filtered
 from corpusloom.functions.text import not_blank, preview
 from corpusloom.operators.profiling import index_rows, sample_exact
-from corpusloom.operators.search import batch_top_k, cell_centres, enough_probes, fetched, hydrated, index_stats, ivf_batch_top_k, top_k, upserted
+from corpusloom.operators.search import batch_top_k, cell_centres, enough_probes, fetched, hydrated, index_stats, ivf_batch_top_k, top_k, upserted, vector_search
 from corpusloom.operators.subset import assigned, kmeans_subset, label_centres, medoids, members
 from corpusloom.plans.tables import table
 from corpusloom.operators.validation import alignment
@@ -143,6 +143,20 @@ def recomputed_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return alignment(stored, again)
 
 
+def search_pruned_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """One row: the queries of ``search_pruned``, and whether it finds at least nine in ten of their true neighbours."""
+    rows = _index(spark, folder)
+    exact = batch_top_k(rows, rows.filter("id % 20 = 0"), DIM, 10, skip_self=True).select("query_id", "id")
+    found = search_pruned(spark, folder).select("query_id", "id", F.lit(True).alias("found"))
+    return exact.join(found, ["query_id", "id"], "left").agg(F.count_distinct("query_id").alias("n_queries"), (F.count("found") >= 0.9 * F.count("*")).alias("enough"))
+
+
+def search_namespace(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest to vector 0 in the namespace of label 3 whose vector number is even."""
+    rows = _index(spark, folder).select(F.col("label").cast("string").alias("namespace"), "id", "values", F.struct((F.col("id") % 2).alias("odd")).alias("metadata"))
+    return vector_search(rows, _first(spark, folder), 10, "3", {"metadata.odd": 0}).select("rank", "id", "score", F.col("metadata.odd").alias("odd"))
+
+
 def hourly_events(spark: SparkSession, folder: str) -> DataFrame:
     return windowed_counts(table(spark, folder, "events"))
 
@@ -215,5 +229,7 @@ QUERIES = {
         recomputed_vectors,
         r"""select least(100, count(*)) as n, 1.0::double as least, 1.0::double as mean, 'PASS' as status from documents where regexp_replace(text, '[\s\p{Z}\x{200B}]', '', 'g') <> ''""",
     ),
+    "search_pruned_recall": (search_pruned_recall, "select count(*) as n_queries, true as enough from embeddings where vec_id % 20 = 0"),
+    "search_namespace": (search_namespace, _nearest_sql("cosine", "label = 3 and vec_id % 2 = 0").replace("score, label from (", "score, odd from (").replace("as score, label ", "as score, vec_id % 2 as odd ")),
     "hourly_events": (hourly_events, "select time_bucket(interval '1 hour', ts) as start, event_type, count(*) as n, round(avg(value), 6) as mean_value from events group by 1, 2"),
 }

@@ -168,3 +168,29 @@ def test_blocks_agree(spark, monkeypatch):
     assert sorted(map(tuple, assigned(rows, centres, 4, "id", "values").collect())) == near and len(near) == 300
     x = {r.id: np.array(r["values"]) for r in rows.collect()}
     assert all((c, d) == min((j, float(round(((x[i] - x[j]) ** 2).sum(), 6))) for j in range(40) if round(((x[i] - x[j]) ** 2).sum(), 6) == min(round(((x[i] - x[m]) ** 2).sum(), 6) for m in range(40))) for i, c, d in near)
+
+
+def test_hydrated(spark, index):
+    from corpusloom.operators.search import hydrated
+
+    hits = spark.createDataFrame([(1, 0, 0.9), (2, 6, 0.8), (3, 77, 0.7), (4, None, 0.6)], "rank int, id long, score double")
+    rows = spark.createDataFrame([(0, "a", 1.0), (6, "b", 2.0), (6, "c", 3.0), (None, "d", 4.0)], "row_index long, text string, score double")
+    got = sorted(((r.rank, r.text, r.score, r.score_row) for r in hydrated(hits, rows, "row_index", "text", "score").collect()), key=str)
+    assert got == [(1, "a", 0.9, 1.0), (2, "b", 0.8, 2.0), (2, "c", 0.8, 3.0), (3, None, 0.7, None), (4, None, 0.6, None)]
+    assert hydrated(hits.limit(0), rows, "row_index", "text").count() == 0 and hydrated(hits, rows.limit(0), "row_index", "text").count() == 4
+
+
+def test_no_local_folder_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from corpusloom.session import discarded, shared_folder, written
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    far = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(ValueError, match="share"):
+        shared_folder(far)
+    kept = written(spark.range(3).toDF("x"), "test")
+    path = kept._written_to.removeprefix("file:")
+    assert kept.count() == 3 and os.path.isdir(path)
+    discarded(kept)
+    assert not os.path.exists(path)
