@@ -106,7 +106,7 @@ def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_co
     # First sources with a target, then none, then others.
     rank = F.when(F.col("label") < 0, 1).when(F.col("label") < k - 1, 0).otherwise(2)
     unique = texts.groupBy(F.sha2("text", 256).alias("copy")).agg(F.min(F.struct(rank.alias("rank"), "id", "label")).alias("x"), F.first("text").alias("text")).select("x.id", "x.label", "text")
-    unique = unique.repartition(cores) if rows.rdd.getNumPartitions() < cores else unique
+    unique = unique.repartition(cores, "id") if rows.rdd.getNumPartitions() < cores else unique
     # Sources without documents get no probability.
     present = np.zeros(k)
     present[[r[0] for r in texts.filter("label >= 0").select("label").distinct().collect()]] = 1

@@ -13,7 +13,9 @@ from corpusloom.llm.records import record_classes, record_counts
 from corpusloom.llm.residue import find_residue, residue_on_unseen_hosts, residue_on_unseen_kinds
 from corpusloom.llm.subset import varied_subsets
 from corpusloom.llm.tokens import token_counts
+from corpusloom.llm.vectors import usable_vectors
 from corpusloom.plans.tables import table
+from corpusloom.session import written
 
 DIM = 128
 
@@ -26,6 +28,24 @@ def p1_cluster_profiles(spark: SparkSession, folder: str) -> DataFrame:
     return cluster_profiles(similarity_clusters(table(spark, folder, "chunk_embeddings"), DIM))
 
 
+def p1_profile_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """One row: the mutual clusters and their members, and how many of them the profiles give another size or typical ids from outside."""
+    clusters = similarity_clusters(table(spark, folder, "chunk_embeddings"), DIM)
+    found = written(mutual_clusters(clusters), "mutual")
+    sizes = found.groupBy("cluster_id").agg(F.count("*").alias("n"))
+    profiles = written(cluster_profiles(clusters).join(sizes, "cluster_id"), "profiles")
+    typical = profiles.select("cluster_id", F.explode("typical_ids").alias("id")).join(found, ["cluster_id", "id"], "left_anti")
+    counts = profiles.agg(F.count("*").alias("n_clusters"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_members"), F.count_if((F.col("n_members") != F.col("n")) | (F.size("typical_ids") != 3)).alias("n_wrong"))
+    return counts.withColumn("n_foreign", F.lit(typical.count()).cast("bigint"))
+
+
+def p2_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """For each subset its number of different ids, and how many of them have no usable vector."""
+    chosen = p2_varied_subsets(spark, folder)
+    usable = usable_vectors(table(spark, folder, "chunk_embeddings"), DIM).select("id", F.lit(True).alias("usable"))
+    return chosen.join(usable, "id", "left").groupBy("subset_name").agg(F.count_distinct("id").alias("n_ids"), F.count_if(F.col("usable").isNull()).alias("n_unusable"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return similar_pairs(most_similar(table(spark, folder, "chunk_embeddings"), DIM))
 
@@ -81,6 +101,35 @@ def p6_fill_report(spark: SparkSession, folder: str) -> DataFrame:
     return fill_report(p6_packed(spark, folder), table(spark, folder, "container_sizes"))
 
 
+def p6_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """For each kind of container: documents packed, containers that hold too much, documents cut though they fit, tokens lost."""
+    sizes = written(token_counts(table(spark, folder, "documents"), "doc_id", "text"), "counted")
+    kinds = table(spark, folder, "container_sizes")
+    placed = written(packed(sizes, kinds).join(F.broadcast(kinds), "container_name"), "placed")
+    full = placed.groupBy("container_name", "container").agg(F.sum("n_tokens").alias("held"), F.first("capacity_tokens").alias("capacity"))
+    full = full.groupBy("container_name").agg(F.count_if(F.col("held") > F.col("capacity")).alias("n_over_full"))
+    docs = placed.groupBy("container_name", "doc_id").agg(F.sum("n_tokens").alias("placed"), F.count_distinct("container").alias("in"), F.first("capacity_tokens").alias("capacity"))
+    docs = docs.join(sizes, "doc_id", "right").groupBy("container_name").agg(
+        F.count("*").alias("n_docs"), F.count_if((F.col("in") > 1) & (F.col("n_tokens") <= F.col("capacity"))).alias("n_cut"), F.sum(F.abs(F.col("n_tokens") - F.coalesce("placed", F.lit(0)))).alias("n_lost")
+    )
+    return full.join(docs, "container_name")
+
+
+def p7_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """One row: sources with a target, documents chosen twice, more often than allowed or without a target, and sources with documents that are over
+    two points off their share of what all such sources can reach."""
+    targets = table(spark, folder, "mix_targets")
+    mixed = mixture(table(spark, folder, "documents"), targets)
+    limits = targets.select(source_name(F.col("source")).alias("source"), "max_repeats")
+    chosen = mixed.chosen.join(F.broadcast(limits), "source", "left")
+    used = chosen.agg((F.count("*") - F.count_distinct("doc_id")).alias("n_twice"), F.count_if(F.col("repeats") > F.col("max_repeats")).alias("n_over"), F.count_if(F.col("max_repeats").isNull()).alias("n_foreign"))
+    # A row for each source.
+    shares = mixed.shares.collect()
+    whole = sum(r.target_share for r in shares if r.n_docs) or 1.0
+    off = [r.source for r in shares if r.n_docs and abs(r.reached_share - r.target_share / whole) > 0.02]
+    return used.withColumns({"n_sources": F.lit(len(shares)).cast("bigint"), "n_off": F.lit(len(off)).cast("bigint")})
+
+
 def p7_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).chosen
 
@@ -127,7 +176,9 @@ select distinct least(a, b) as id_a, greatest(a, b) as id_b from ranked where pl
 QUERIES = {
     "p1_found": (p1_found, _P1),
     "p1_cluster_profiles": (p1_cluster_profiles, None),
+    "p1_profile_checks": (p1_profile_checks, f"select count(distinct cluster_id) as n_clusters, count(*) as n_members, 0::bigint as n_wrong, 0::bigint as n_foreign from ({_P1})"),
     "p2_varied_subsets": (p2_varied_subsets, None),
+    "p2_checks": (p2_checks, _SIMILAR.partition(", links as")[0] + "select subset_name, cast(n_select as bigint) as n_ids, 0::bigint as n_unusable from subset_sizes where n_select between 1 and (select count(*) from usable)"),
     "p4_found": (p4_found, _P4 + "select distinct keep as documentid_keep, id as documentid_copy from classes where id <> keep"),
     "p4_record_counts": (
         p4_record_counts,
@@ -136,7 +187,13 @@ QUERIES = {
     "p5_found": (p5_found, _P5),
     "p6_packed": (p6_packed, None),
     "p6_fill_report": (p6_fill_report, None),
+    "p6_checks": (
+        p6_checks,
+        r"""select container_name, 0::bigint as n_over_full, count(*) as n_docs, 0::bigint as n_cut, 0::bigint as n_lost from container_sizes, documents
+            where capacity_tokens > 0 and doc_id is not null and regexp_replace(text, '[\s\p{Z}\x{200B}]', '', 'g') <> '' group by container_name""",
+    ),
     "p7_mixture": (p7_mixture, None),
+    "p7_checks": (p7_checks, "select 0::bigint as n_twice, 0::bigint as n_over, 0::bigint as n_foreign, count(*) as n_sources, 0::bigint as n_off from mix_targets where target_share > 0 and max_repeats > 0"),
     "p7_shares": (p7_shares, None),
     "p8_found": (p8_found, None),
     "p8_unseen_hosts": (p8_unseen_hosts, None),

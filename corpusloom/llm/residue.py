@@ -76,7 +76,7 @@ def _shows_sign(part: bytes) -> bool:
 def _spread(rows: DataFrame) -> DataFrame:
     """Much work for each row: a table of few files is spread over all cores."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores, "text") if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _texts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:

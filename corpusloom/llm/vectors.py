@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import written
+
 #: Ids that come more than once are broadcast up to this number, beyond it they are shuffled.
 BROADCAST_IDS = 50_000
 
@@ -82,7 +84,7 @@ def usable_vectors(rows: DataFrame, dim: int, id_col: str = "id", vector_col: st
     grouped; they are counted first and broadcast if they are few, else joined by shuffle.
     """
     raw = rows.select(F.col(id_col).cast("string").alias("id"), F.col(vector_col).cast("array<float>").alias("embedding")).filter("id is not null and embedding is not null")
-    repeated = raw.groupBy("id").count().filter("count > 1").select("id")
+    repeated = written(raw.groupBy("id").count().filter("count > 1").select("id"), "repeated")
     n = repeated.count()
     schema = "id string, vec binary"
     if not n:
