@@ -43,9 +43,9 @@ class Mixture:
     converged: bool
 
 
-def _classifier(rows: DataFrame, names: list[str], n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+def _classifier(rows: DataFrame, names: list[str], n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights (features, names) and biases of a multinomial classifier of the label's number, trained on at most about
-    TRAINED_ON of ``rows`` (id, text, label), chosen by the hash of their id.  With fewer than two labels it knows nothing but these."""
+    TRAINED_ON of ``rows`` (id, text, label), chosen by the hash of their id; and 1 for the labels it saw, the only ones it knows."""
     step = max(1, -(-n_rows // TRAINED_ON))
     sample = rows.filter((F.col("label") >= 0) & (F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("mixture")), F.lit(step)) == 0)).select("text", "label")
 
@@ -59,14 +59,14 @@ def _classifier(rows: DataFrame, names: list[str], n_rows: int) -> tuple[np.ndar
     data = sample.mapInArrow(run, StructType().add("label", DoubleType()).add("features", VectorUDT())).persist()
     try:
         present = [int(r[0]) for r in data.select("label").distinct().collect()]
-        weights, bias = np.zeros((FEATURES, len(names)), np.float32), np.full(len(names), -50.0)
-        bias[present] = 0
+        weights, bias, seen = np.zeros((FEATURES, len(names)), np.float32), np.zeros(len(names)), np.zeros(len(names))
+        seen[present] = 1
         if len(present) > 1:
             model = LogisticRegression(family="multinomial", maxIter=25, regParam=0.01).fit(data)
             known = model.numClasses
             weights[:, :known] = model.coefficientMatrix.toArray().T
-            bias[:known] = np.where(np.isin(np.arange(known), present), model.interceptVector.toArray(), -50.0)
-        return weights, bias
+            bias[:known] = model.interceptVector.toArray()
+        return weights, bias, seen
     finally:
         data.unpersist()
 
@@ -102,19 +102,16 @@ def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_co
     known = F.array_position(F.lit(names), F.col("source"))
     label = F.when(F.col("source").isNull(), -1).when((known > 0) & (known < k), known - 1).otherwise(k - 1).cast("int")
     texts = texts.select("id", "text", label.alias("label"))
-    weights, bias = _classifier(texts, names, rows.count())
+    classifier = _classifier(texts, names, rows.count())
     # First sources with a target, then none, then others.
     rank = F.when(F.col("label") < 0, 1).when(F.col("label") < k - 1, 0).otherwise(2)
     unique = texts.groupBy(F.sha2("text", 256).alias("copy")).agg(F.min(F.struct(rank.alias("rank"), "id", "label")).alias("x"), F.first("text").alias("text")).select("x.id", "x.label", "text")
     unique = unique.repartition(cores, "id") if rows.rdd.getNumPartitions() < cores else unique
-    # Sources without documents get no probability.
-    present = np.zeros(k)
-    present[[r[0] for r in texts.filter("label >= 0").select("label").distinct().collect()]] = 1
-    model = spark.sparkContext.broadcast((weights, bias))
+    model = spark.sparkContext.broadcast(classifier)
     caps = np.array(cap + [1.0])
 
     def membered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, base = model.value
+        w, base, seen = model.value
         for batch in batches:
             label = np.asarray(batch.column("label"))
             column = batch.column("text")
@@ -126,7 +123,7 @@ def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_co
                 if len(first):
                     score[i + owner[first]] = np.add.reduceat(w[index], first, axis=0)
             score += base
-            p = np.exp(score - score.max(axis=1, keepdims=True)) * present
+            p = np.exp(score - score.max(axis=1, keepdims=True)) * seen
             p /= np.maximum(p.sum(axis=1), 1e-12)[:, None]
             labelled = label >= 0
             p[labelled] *= 1 - trust
@@ -168,7 +165,7 @@ def mixture(rows: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_co
     cells = written(member.groupBy("cell", "grid", "most").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("count")), "cells")
     state = written(cells.select("grid", "most", "n_tokens", F.lit(0.0).alias("rate")), "rates")
     most, scale = totals(state, "most")
-    reachable = (share > 0) & (most > 0) & (present > 0)
+    reachable = (share > 0) & (most > 0)
     total = float(total_tokens or (min(most[reachable] / share[reachable]) if reachable.any() else 0))
     goal = share * total
     taken, residual = 0, 1.0
