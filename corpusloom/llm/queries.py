@@ -116,8 +116,8 @@ def p6_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """One row: sources with a target, documents chosen twice, more often than allowed or without a target, and sources with documents that are over
-    two points off their share of what all such sources can reach."""
+    """One row: sources with a target, documents chosen twice, more often than allowed or without a target, and sources with documents that are off
+    their share of what all such sources can reach by over two points and the size of the largest document chosen."""
     targets = table(spark, folder, "mix_targets")
     mixed = mixture(table(spark, folder, "documents"), targets)
     limits = targets.select(source_name(F.col("source")).alias("source"), "max_repeats")
@@ -126,7 +126,8 @@ def p7_checks(spark: SparkSession, folder: str) -> DataFrame:
     # A row for each source.
     shares = mixed.shares.collect()
     whole = sum(r.target_share for r in shares if r.n_docs) or 1.0
-    off = [r.source for r in shares if r.n_docs and abs(r.reached_share - r.target_share / whole) > 0.02]
+    largest = (mixed.chosen.agg(F.max("n_tokens")).first()[0] or 0) / (sum(r.n_tokens for r in shares) or 1)
+    off = [r.source for r in shares if r.n_docs and abs(r.reached_share - r.target_share / whole) > 0.02 + largest]
     return used.withColumns({"n_sources": F.lit(len(shares)).cast("bigint"), "n_off": F.lit(len(off)).cast("bigint")})
 
 
