@@ -7,7 +7,7 @@ precision where that is exact and in single precision where it is not, so nothin
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import written
+from corpusloom.session import discarded, written
 
 #: Ids that come more than once are broadcast up to this number, beyond it they are shuffled.
 BROADCAST_IDS = 50_000
@@ -62,6 +62,14 @@ def units(x: np.ndarray) -> np.ndarray:
     return wide / np.sqrt(np.einsum("ij,ij->i", wide, wide))[:, None]
 
 
+def directions(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    """As ``units`` of packed rows, in single precision; only a part of them is in double precision at once."""
+    x = unpack(column, dim)
+    for i in range(0, len(x), 16_384):
+        x[i : i + 16_384] = units(x[i : i + 16_384])
+    return x
+
+
 def _packed(dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +107,7 @@ def sample_vectors(vectors: DataFrame, n_rows: int, size: int, dim: int) -> np.n
     """About ``size`` (never over twice that) vectors of length 1, chosen by the hash of their id."""
     step = max(1, n_rows // size)
     chosen = vectors.filter(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).select("vec").limit(2 * size).toArrow()
-    return units(unpack(chosen.column("vec"), dim)).astype(np.float32)
+    return directions(chosen.column("vec"), dim)
 
 
 def spherical_kmeans(sample: np.ndarray, k: int, rounds: int = 6, seed: int = 1) -> np.ndarray:
@@ -107,7 +115,7 @@ def spherical_kmeans(sample: np.ndarray, k: int, rounds: int = 6, seed: int = 1)
     rng = np.random.default_rng(seed)
     centres = sample[rng.choice(len(sample), min(k, len(sample)), replace=False)].copy()
     for _ in range(rounds):
-        nearest = np.concatenate([(part @ centres.T).argmax(axis=1) for part in np.array_split(sample, max(1, len(sample) // 4096))])
+        nearest = np.concatenate([(part @ centres.T).argmax(axis=1) for part in np.array_split(sample, max(1, len(sample) * max(len(centres), 1024) // (4096 * 1024)))])
         order = np.argsort(nearest, kind="stable")
         found, first = np.unique(nearest[order], return_index=True)
         sums = np.zeros_like(centres)
@@ -136,7 +144,16 @@ def without_near_copies(centres: np.ndarray, sample: np.ndarray, alike: float) -
 
     K-means gives a large group of similar vectors many centres, which would tear its members apart."""
     index = Centres.of(centres)
-    weight = np.maximum(np.bincount(index.nearest(sample, 1, 0.0)[:, 0], minlength=len(centres)), 1).astype(np.float32)
+    return _without_near_copies(index, _weights(index, sample), alike)
+
+
+def _weights(index: Centres, sample: np.ndarray) -> np.ndarray:
+    """How many of the sample are nearest to each centre, one at least."""
+    return np.maximum(np.bincount(index.nearest(sample, 1, 0.0)[:, 0], minlength=len(index.all)), 1)
+
+
+def _without_near_copies(index: Centres, weight: np.ndarray, alike: float) -> np.ndarray:
+    centres, weight = index.all, weight.astype(np.float32)
     out = []
     for group in index.lists:
         own, heavy = centres[group], weight[group]
@@ -238,14 +255,96 @@ class Cells:
 
 def train_cells(sample: np.ndarray, n_rows: int, most: int = 3, margin: float = 0.15, block: int = 16_384, alike: float = 0.85) -> Cells:
     """Cells for about ``n_rows`` vectors, from a sample of them; their number grows with the rows, up to MOST_CENTRES."""
-    k = min(2 ** round(math.log2(max(n_rows / PER_CENTRE, 1))), MOST_CENTRES)
-    k = max(1, min(k, len(sample)))
+    k = max(1, min(centres_for(n_rows), len(sample)))
     centres = without_near_copies(two_level_kmeans(sample, k), sample, alike)
     counts = np.bincount(Centres.of(centres).nearest(sample, most, margin).ravel() + 1, minlength=len(centres) + 1)[1:]
     expected = counts * (n_rows / max(len(sample), 1))
     return Cells(centres, np.maximum(1, np.ceil(expected / block)).astype(np.int64), most, margin)
 
 
+def centres_for(n_rows: int) -> int:
+    """The number of centres for about ``n_rows`` vectors."""
+    return min(2 ** round(math.log2(max(n_rows / PER_CENTRE, 1))), MOST_CENTRES)
+
+
+def train_wide_cells(drawn: DataFrame, n_rows: int, dim: int, most: int = 3, margin: float = 0.15, block: int = 16_384, alike: float = 0.85) -> tuple[Cells, np.ndarray] | None:
+    """As ``train_cells`` in two levels, for a sample (id, vec) that stays in the shared folder, and a part of it.  None if it is empty.
+
+    The coarse groups come from SAMPLED x FLAT of the sample on the driver, the centres within each from all its vectors, in tasks of their own, so the driver
+    holds the centres but never the sample.  A group of over that number is trained in parts, each with its share of the centres."""
+    spark = drawn.sparkSession
+    k, whole = centres_for(n_rows), SAMPLED * FLAT
+    drawn = written(drawn.select("id", "vec"), "sample")
+    total = drawn.count()
+    if not total:
+        return None
+    few = drawn.filter(F.pmod(F.xxhash64("id", F.lit("coarse")), F.lit(max(1, total // whole))) == 0).toArrow().sort_by("id")
+    few = directions((few if few.num_rows else drawn.limit(whole).toArrow()).column("vec"), dim)
+    heads = spark.sparkContext.broadcast(spherical_kmeans(few, round(math.sqrt(k))))
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = nearest_cells(directions(batch.column("vec"), dim), heads.value, 1, 0.0)[:, 0]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), batch.column("id"), batch.column("vec")], ["head", "id", "vec"])
+
+    def centred(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        x = directions(table.column("vec"), dim)
+        distinct = len(set(table.column("vec").to_pylist()))
+        index = Centres.of(two_level_kmeans(x, max(1, min(round(k * len(x) / total), distinct))))
+        n = len(index.all)
+        first = [pa.array(np.full(n, table.column(c)[0].as_py()), pa.int32()) for c in ("head", "part")]
+        return pa.table([*first, pa.array(np.arange(n), pa.int32()), pa.array(_weights(index, x), pa.int64()), pa.array([c.tobytes() for c in index.all], pa.binary())], ["head", "part", "at", "weight", "centre"])
+
+    grouped = drawn.mapInArrow(headed, "head int, id string, vec binary")
+    # A row for each head.
+    parts = grouped.groupBy("head").count().select("head", F.ceil(F.col("count") / whole).cast("int").alias("parts"))
+    grouped = grouped.join(F.broadcast(parts), "head").withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.col("parts")).cast("int"))
+    found = grouped.groupBy("head", "part").applyInArrow(centred, "head int, part int, at int, weight bigint, centre binary").toArrow()
+    found = found.take(pc.sort_indices(found, [(c, "ascending") for c in ("head", "part", "at")]))
+    centres, weight = np.frombuffer(_bytes(found.column("centre").combine_chunks()), np.float32).reshape(-1, dim), found.column("weight").to_numpy()
+    del found
+    index = Centres.of(_without_near_copies(Centres.of(centres), weight, alike))
+    del centres
+    shared = spark.sparkContext.broadcast(index)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        n = np.zeros(len(index.all), np.int64)
+        for batch in batches:
+            n += np.bincount(index.nearest(directions(batch.column("vec"), dim), most, margin).ravel() + 1, minlength=len(n) + 1)[1:]
+        cell = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(n[cell], pa.int64())], ["cell", "n"])
+
+    # A row for each centre.
+    held = drawn.mapInArrow(counted, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    expected = np.zeros(len(index.all))
+    expected[held.column("cell").to_numpy()] = held.column("n").to_numpy() * (n_rows / total)
+    for b in (heads, shared):
+        b.destroy()
+    discarded(drawn)
+    return Cells(index.all, np.maximum(1, np.ceil(expected / block)).astype(np.int64), most, margin), few
+
+
+def cells_for(vectors: DataFrame, drawn: DataFrame, n_rows: int, dim: int, train: Callable[[np.ndarray, int], Cells], most: int = 3, margin: float = 0.15) -> tuple[Cells | None, np.ndarray]:
+    """Cells for the ``vectors`` (id, vec) of a table of ``n_rows``, and a bounded sample of them.  ``drawn`` has those whose ids the sample takes.
+
+    Up to FLAT centres their sample comes to the driver, which then calls ``train``.  No cells if there are no vectors."""
+    found = train_wide_cells(drawn, n_rows, dim, most, margin) if centres_for(n_rows) > FLAT else None
+    if found:
+        return found
+    sample = sample_vectors(drawn, n_rows, sample_size(n_rows), dim)
+    if not len(sample):
+        # A sample may miss the few there are.
+        sample = sample_vectors(vectors, 1, sample_size(1), dim)
+    return (train(sample, n_rows) if len(sample) else None), sample
+
+
+def drawn_rows(rows: DataFrame, n_rows: int, id_col: str = "id") -> DataFrame:
+    """Of ``n_rows`` rows those whose ids ``sample_vectors`` takes to train cells."""
+    return rows.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(max(1, n_rows // sample_size(n_rows)))) == 0)
+
+
 def sample_size(n_rows: int) -> int:
     """Rows to train cells on: SAMPLED for each centre, so at most SAMPLED times MOST_CENTRES."""
     return int(min(max(n_rows / PER_CENTRE * SAMPLED, 4096), SAMPLED * MOST_CENTRES))

@@ -93,6 +93,32 @@ def test_cells_grow_with_the_table():
     assert len(set(rows.ravel())) == 8192 and abs(rows.mean() - 50_000) < 2000
 
 
+@pytest.fixture
+def came(spark, monkeypatch):
+    """Of how many vectors tables came to the driver, where 64 of a sample may and there are over 4 centres."""
+    from corpusloom.llm import vectors as module
+
+    monkeypatch.setattr(module, "FLAT", 4)
+    monkeypatch.setattr(module, "PER_CENTRE", 25)
+    kind, sizes = type(spark.range(1)), []
+    arrow = kind.toArrow
+
+    def seen(self):
+        out = arrow(self)
+        sizes.extend([out.num_rows] if "vec" in out.column_names else [])
+        return out
+
+    monkeypatch.setattr(kind, "toArrow", seen)
+    return sizes
+
+
+def test_clusters_from_a_large_sample(spark, came):
+    vectors = planted([150, 40, 6, 5, 4], 1200) + [(f"same{i:03}", np.ones(DIM, np.float16)) for i in range(300)]
+    got = [(r.cluster_id, r.id) for r in mutual_clusters(similarity_clusters(table(spark, [*vectors, *BAD, vectors[0]]), DIM)).collect()]
+    want = cliques_by_hand(vectors)
+    assert len(got) == len(set(got)) and set(got) == want and came and max(came) <= 128
+
+
 @pytest.mark.parametrize("block", [16_384, 60])
 def test_neighbours(spark, monkeypatch, block):
     vectors = planted([120, 30, 5, 2], 200)
