@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.vectors import Cells, nearest_cells, sample_size, sample_vectors, tiled, train_cells, units, unpack, usable_vectors
+from corpusloom.llm.vectors import Cells, cells_for, drawn_rows, nearest_cells, tiled, train_cells, units, unpack, usable_vectors
 
 #: Codewords of a subspace: four bits.  Rows encoded at once; rows to train codebooks on.
 WORDS, ENCODED, TRAINED = 16, 4096, 8192
@@ -230,11 +230,10 @@ def most_similar(rows: DataFrame, dim: int, k: int = 3, least: float = 0.75, id_
     """
     n = rows.count()
     vectors = usable_vectors(rows, dim, id_col, vector_col)
-    sample = sample_vectors(vectors, n, sample_size(n), dim)
     spark = rows.sparkSession
-    if not len(sample):
+    cells, sample = cells_for(vectors, usable_vectors(drawn_rows(rows, n, id_col), dim, id_col, vector_col), n, dim, lambda sample, n: train_cells(sample, n))
+    if cells is None:
         return spark.createDataFrame([], "id string, rank int, other string, cosine double")
-    cells = train_cells(sample, n)
     books = train_codebooks(drawn(sample, TRAINED), cells, subspaces or dim // 2)
     shared = spark.sparkContext.broadcast((cells.centres, books))
 

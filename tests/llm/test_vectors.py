@@ -119,6 +119,13 @@ def test_clusters_from_a_large_sample(spark, came):
     assert len(got) == len(set(got)) and set(got) == want and came and max(came) <= 128
 
 
+def test_neighbours_from_a_large_sample(spark, came):
+    vectors = planted([60, 30, 5, 2], 1200)
+    got = {(r.id, r.other) for r in most_similar(table(spark, [*vectors, *BAD]), DIM).collect()}
+    want = {(i, o) for i, n in nearest_by_hand(vectors).items() for o, _ in n}
+    assert len(got & want) / len(want) >= 0.95 and came and max(came) <= 128
+
+
 @pytest.mark.parametrize("block", [16_384, 60])
 def test_neighbours(spark, monkeypatch, block):
     vectors = planted([120, 30, 5, 2], 200)
