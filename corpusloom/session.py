@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -71,7 +72,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def released(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of finished work, which it does when the driver's JVM finds that nothing refers to them any more."""
+    """Lets Spark remove the shuffle files of finished work, which it does when the driver's JVM finds that nothing refers to them any more.
+
+    Python's objects for those of the JVM refer to themselves, so what is done with is only let go by Python's own collector, which comes first."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 

@@ -194,3 +194,27 @@ def test_no_local_folder_on_a_cluster(spark):
     assert kept.count() == 3 and os.path.isdir(path)
     discarded(kept)
     assert not os.path.exists(path)
+
+
+def test_shuffles_of_finished_work_go(spark):
+    import gc
+    import time
+
+    from corpusloom.session import released, written
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    released(spark)
+    time.sleep(2)
+    gc.disable()
+    try:
+        before = shuffles()
+        table = written(spark.range(1000).selectExpr("id % 7 as k", "id").groupBy("k").applyInArrow(lambda t: t, "k bigint, id bigint").filter("id >= 0"), "test")
+        made = shuffles() - before
+        released(spark)
+        end = time.time() + 20
+        while made & shuffles() and time.time() < end:
+            time.sleep(0.2)
+        assert made and not made & shuffles() and table.count() == 1000
+    finally:
+        gc.enable()
