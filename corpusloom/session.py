@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
 from pathlib import Path
@@ -71,11 +72,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+class _Reached:
+    """An entry of the queue in which Python lets go objects of the JVM, which tells when all before it are gone."""
+
+    def __init__(self) -> None:
+        self.event = threading.Event()
+
+    def garbage_collect_object(self, target_id: str, enqueue: bool = False) -> None:
+        self.event.set()
+
+
 def released(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of finished work, which it does when the driver's JVM finds that nothing refers to them any more.
 
-    Python's objects for those of the JVM refer to themselves, so what is done with is only let go by Python's own collector, which comes first."""
+    Python's objects for those of the JVM refer to themselves, so what is done with is only let go by Python's own collector, which comes first, and
+    only in a thread that may sleep for a second, which is waited for."""
     gc.collect()
+    queue = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None)
+    if queue is not None:
+        reached = _Reached()
+        queue.appendleft((reached, ""))
+        reached.event.wait(10)
     spark.sparkContext._jvm.System.gc()
 
 
