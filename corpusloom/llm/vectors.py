@@ -91,16 +91,42 @@ def usable_vectors(rows: DataFrame, dim: int, id_col: str = "id", vector_col: st
     usable vectors the smallest in byte order is taken.  Only the ids that come more than once are
     grouped; they are counted first and broadcast if they are few, else joined by shuffle.
     """
-    raw = rows.select(F.col(id_col).cast("string").alias("id"), F.col(vector_col).cast("array<float>").alias("embedding")).filter("id is not null and embedding is not null")
+    raw = _raw(rows, id_col, vector_col)
+    once, many, _ = _usable(raw, dim)
+    return once(raw).unionByName(many(raw)) if many else once(raw)
+
+
+def usable_and_drawn(rows: DataFrame, n_rows: int, dim: int, id_col: str = "id", vector_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """``usable_vectors`` of a table of ``n_rows``, and of its ``drawn_rows``; ids that come more than once are looked for once for both.
+
+    The vectors of those are written if they are few, a row for each id, so their rows are read once too."""
+    raw = _raw(rows, id_col, vector_col)
+    once, many, few = _usable(raw, dim)
+    drawn = drawn_rows(raw, n_rows)
+    if not many:
+        return once(raw), once(drawn)
+    if not few:
+        return once(raw).unionByName(many(raw)), once(drawn).unionByName(many(drawn))
+    chosen = written(many(raw), "many")
+    return once(raw).unionByName(chosen), once(drawn).unionByName(drawn_rows(chosen, n_rows))
+
+
+def _raw(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    return rows.select(F.col(id_col).cast("string").alias("id"), F.col(vector_col).cast("array<float>").alias("embedding")).filter("id is not null and embedding is not null")
+
+
+def _usable(raw: DataFrame, dim: int) -> tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame] | None, bool]:
+    """What gives the usable vectors of the ids of ``raw`` that come once, and of the others, None if there are none; whether those are few."""
     repeated = written(raw.groupBy("id").count().filter("count > 1").select("id"), "repeated")
     n = repeated.count()
-    schema = "id string, vec binary"
+    packed = lambda part: part.mapInArrow(_packed(dim), "id string, vec binary")
     if not n:
-        return raw.mapInArrow(_packed(dim), schema)
-    repeated = F.broadcast(repeated) if n <= BROADCAST_IDS else repeated
-    once = raw.join(repeated, "id", "left_anti").mapInArrow(_packed(dim), schema)
-    many = raw.join(repeated, "id", "left_semi").mapInArrow(_packed(dim), schema)
-    return once.unionByName(many.groupBy("id").agg(F.min("vec").alias("vec")))
+        return packed, None, True
+    few = n <= BROADCAST_IDS
+    repeated = F.broadcast(repeated) if few else repeated
+    once = lambda part: packed(part.join(repeated, "id", "left_anti"))
+    many = lambda part: packed(part.join(repeated, "id", "left_semi")).groupBy("id").agg(F.min("vec").alias("vec"))
+    return once, many, few
 
 
 def sample_vectors(vectors: DataFrame, n_rows: int, size: int, dim: int) -> np.ndarray:
@@ -171,22 +197,34 @@ def _without_near_copies(index: Centres, weight: np.ndarray, alike: float) -> np
 #: Vectors to a centre, sampled vectors to a centre, the centres from which they are searched in two levels, and the most centres
 #: there are (32 MB at 128 dimensions, and a sample of about a million vectors); from 6.5 million vectors cells grow with the table.
 PER_CENTRE, SAMPLED, FLAT, MOST_CENTRES = 100, 16, 4096, 65_536
-#: Groups of centres in which a vector's nearest are looked for.
-GROUPS = 16
+#: Groups of centres in which a vector's nearest are looked for, and the number of largest up to which each is picked by a pass of its own.
+GROUPS, PICKED = 16, 8
+
+
+def pairs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of a matrix's true entries, as ``np.nonzero``, which takes several times as long where they are few."""
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
 
 
 def nearest_cells(x: np.ndarray, centres: np.ndarray, most: int, margin: float) -> np.ndarray:
     """(rows, most): cells of each row, nearest first, -1 for none."""
     most = min(most, len(centres))
     out = np.empty((len(x), most), np.int32)
-    rows = max(64, 2048 * FLAT // max(len(centres), FLAT))
+    rows = max(64, 512 * FLAT // max(len(centres), FLAT))
     for i in range(0, len(x), rows):
         out[i : i + rows] = _within(*_top(x[i : i + rows] @ centres.T, most), margin)
     return out
 
 
 def _top(dots: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Columns and values of the ``most`` largest of each row, largest first."""
+    """Columns and values of the ``most`` largest of each row, largest first; where they are few, ``dots`` is used up."""
+    if most <= PICKED:
+        top, value, at = np.empty((len(dots), most), np.int64), np.empty((len(dots), most), dots.dtype), np.arange(len(dots))
+        for i in range(most):
+            top[:, i] = dots.argmax(axis=1)
+            value[:, i] = dots[at, top[:, i]]
+            dots[at, top[:, i]] = -np.inf
+        return top, value
     top = np.argpartition(-dots, most - 1, axis=1)[:, :most] if most < dots.shape[1] else np.tile(np.arange(dots.shape[1]), (len(dots), 1))
     value = np.take_along_axis(dots, top, axis=1)
     order = np.argsort(-value, axis=1, kind="stable")

@@ -57,14 +57,26 @@ def file_system(spark: SparkSession, path: str) -> tuple:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Whether Spark removes the shuffle files of a query as soon as it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, let_go: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back: its lineage is cut there,
     later stages reread it instead of computing it again, and a lost executor loses nothing.
 
-    The table is removed when the application ends, or before by ``discarded``."""
+    The table is removed when the application ends, or before by ``discarded``.  With ``let_go`` the shuffle files of the query that writes it
+    are removed at once, without waiting for the driver's collector (see ``released``)."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    try:
+        if let_go:
+            spark.conf.set(CLEANUP, "true")
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if let_go:
+            spark.conf.set(CLEANUP, before)
     files, at = file_system(spark, path)
     files.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)

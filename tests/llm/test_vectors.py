@@ -3,11 +3,11 @@ import functools
 import numpy as np
 import pytest
 
-from corpusloom.llm import clusters, neighbours, subset
+from corpusloom.llm import clusters, neighbours, subset, vectors as vectors_module
 from corpusloom.llm.clusters import cluster_profiles, markov_clusters, mutual_clusters, similarity_clusters
 from corpusloom.llm.neighbours import most_similar, similar_pairs
 from corpusloom.llm.subset import Features, Tree, _parted, _unlike, agglomerate, varied_subsets
-from corpusloom.llm.vectors import Cells, pack, sample_size, tiled, train_cells, units, unpack, usable_vectors
+from corpusloom.llm.vectors import Cells, drawn_rows, nearest_cells, pack, pairs_of, sample_size, tiled, train_cells, units, unpack, usable_and_drawn, usable_vectors
 
 DIM = 64
 SCHEMA = "id string, embedding array<float>, vec string, tile int, hash string"
@@ -70,6 +70,41 @@ def test_usable(spark):
     assert usable_vectors(rows.limit(0), DIM).count() == 0
 
 
+@pytest.mark.parametrize("few, names", [(50_000, ["repeated", "many"]), (10, ["repeated"])])
+def test_usable_and_drawn(spark, monkeypatch, few, names):
+    """Repeated ids are looked for once for the table and the rows that are drawn from it."""
+    rng = np.random.default_rng(1)
+    rows = table(spark, [*BAD, *((f"x{i}", rng.normal(size=DIM)) for i in range(400)), *((f"x{i}", rng.normal(size=DIM)) for i in range(0, 400, 5)), ("x7", None)])
+    n, asked = 400 * 4096 // 100, []
+    monkeypatch.setattr(vectors_module, "BROADCAST_IDS", few)
+    monkeypatch.setattr(vectors_module, "sample_size", lambda n_rows: n_rows // 3)
+    of = lambda df: {(r.id, bytes(r.vec)) for r in df.collect()}
+    want = of(usable_vectors(rows, DIM)), of(usable_vectors(drawn_rows(rows, n), DIM))
+    write = vectors_module.written
+    monkeypatch.setattr(vectors_module, "written", lambda df, name: asked.append(name) or write(df, name))
+    got = usable_and_drawn(rows, n, DIM)
+    assert tuple(map(of, got)) == want and len(want[0]) == got[0].count() == 400 and 80 < len(want[1]) == got[1].count() < 200
+    assert asked == names
+
+
+def test_largest_and_pairs():
+    rng = np.random.default_rng(2)
+    x, centres = (rng.normal(size=(n, 16)).astype(np.float32) for n in (1500, 40))
+    dots = x @ centres.T
+    order = np.argsort(-dots, axis=1)
+    for most in (1, 4, 8, 9, 40, 50):
+        got = nearest_cells(x, centres, most, 100.0)
+        assert np.array_equal(got, order[:, :most])
+    got = nearest_cells(x, centres, 4, 0.5)
+    best = np.take_along_axis(dots, order[:, :4], axis=1)
+    assert np.array_equal(got, np.where(best >= best[:, :1] - np.float32(0.5), order[:, :4], -1))
+    for mask in (dots > 8, dots > 1e9, dots[:0] > 0, dots[:, :0] > 0):
+        assert all(map(np.array_equal, pairs_of(mask), np.nonzero(mask)))
+    # Dots near the threshold are taken again in double precision.
+    a = units(np.array([[1, 0, 0], [3, 4, 0], [0.6, 0.8, 1e-7]], np.float32))
+    assert clusters._linked(a, a, 0.6)[0].all() and not clusters._linked(a, a, 0.6 + 1e-6)[0][0, 1]
+
+
 def test_every_pair_of_a_cell_meets(spark):
     vectors = planted([40], 20)
     unit = units(np.array([v for _, v in vectors], np.float32)).astype(np.float32)

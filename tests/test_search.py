@@ -218,3 +218,26 @@ def test_shuffles_of_finished_work_go(spark):
         assert made and not made & shuffles() and table.count() == 1000
     finally:
         gc.enable()
+
+
+def test_shuffles_are_let_go_at_once(spark):
+    import gc
+    import time
+
+    from corpusloom.session import CLEANUP, written
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    gc.disable()
+    try:
+        before = shuffles()
+        rows = spark.range(1000).selectExpr("id % 7 as k", "id").groupBy("k").applyInArrow(lambda t: t, "k bigint, id bigint").filter("id >= 0")
+        table = written(rows, "test", let_go=True)
+        end = time.time() + 10
+        while shuffles() - before and time.time() < end:
+            time.sleep(0.2)
+        assert not shuffles() - before and spark.conf.get(CLEANUP) == "false"
+        # What was written from can be used again.
+        assert table.count() == 1000 and rows.count() == 1000 and written(rows, "test").count() == 1000
+    finally:
+        gc.enable()
